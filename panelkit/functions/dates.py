@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -11,10 +12,39 @@ from pyspark.sql import functions as F
 DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "yyyyMMdd", "MMM d, yyyy")
 
 
+# Text that the pattern letters used in date formats can stand for.
+_LETTERS = {
+    "yyyy": r"\d{4}",
+    "MMMM": r"\p{L}+",
+    "MMM": r"\p{L}{3}",
+    "MM": r"\d{2}",
+    "M": r"\d{1,2}",
+    "dd": r"\d{2}",
+    "d": r"\d{1,2}",
+}
+
+
+def _shape(date_format: str) -> str:
+    """Regular expression that every text in ``date_format`` matches."""
+    parts = re.findall(r"([a-zA-Z])(\1*)|([^a-zA-Z]+)", date_format)
+    return "^" + "".join(
+        _LETTERS.get(letter + more, ".+") if letter else re.escape(other)
+        for letter, more, other in parts
+    ) + "$"
+
+
 def parse_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Date from text in one of ``formats``; null when none fits. Never raises."""
+    """Date from text in one of ``formats``; null when none fits. Never raises.
+
+    A text is only handed to the formats whose shape it has: a failed parse costs far more
+    than the shape test.
+    """
     text = F.trim((F.col(c) if isinstance(c, str) else c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats])
+    tries = [
+        F.when(text.rlike(_shape(f)), F.try_to_timestamp(text, F.lit(f)).cast("date"))
+        for f in formats
+    ]
+    return F.coalesce(*tries)
 
 
 def month_of(c: Column | str) -> Column:

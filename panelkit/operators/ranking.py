@@ -12,6 +12,9 @@ lower buckets as an offset:
 
 Inputs of at most ``SINGLE_TASK_ROWS`` rows use one bucket. The reduced data is read
 several times (sample, offsets, sort), so it is stored in the shared folder first.
+
+``by`` ranks several value sets held in one table, told apart by a label column with few
+labels (such as the names of the columns that are ranked).
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.session import materialise
 
@@ -29,48 +33,77 @@ STEP = 32
 SINGLE_TASK_ROWS = 200_000
 
 
-def split_points(df: DataFrame, column: str, single_task_rows: int | None = None) -> list[Any]:
-    """Ascending values that cut ``column`` into parts of about equally many distinct values.
-
-    Empty when the input has at most ``single_task_rows`` non-null rows.
-    """
+def split_points(
+    df: DataFrame, column: str, by: str | None = None, single_task_rows: int | None = None
+) -> dict[Any, list[Any]]:
+    """Per label, ascending values that cut ``column`` into parts of about equally many distinct
+    values. Empty for a label with at most ``single_task_rows`` non-null rows."""
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     value = F.col(column)
+    label = F.col(by) if by else F.lit(None).cast("string")
     cells = (
         df.where(value.isNotNull())
-        .groupBy(F.pmod(F.xxhash64(value), F.lit(CELLS)).alias("cell"))
+        .groupBy(label.alias("label"), F.pmod(F.xxhash64(value), F.lit(CELLS)).alias("cell"))
         .agg(
             F.min_by(value, F.xxhash64(F.lit("order"), value)).alias("value"),
             F.count(F.lit(1)).alias("n"),
         )
         .collect()
     )
-    total = sum(c["n"] for c in cells)
-    if total <= limit:
-        return []
-    values = sorted({c["value"] for c in cells})
-    # no more buckets than needed for a quarter of the single-task size each
-    every = max(1, len(values) * limit // (4 * total))
-    return values[::every]
-
-
-def bucket_of(c: Column, splits: Sequence[Any]) -> Column:
-    """Index of the bucket a value falls into; null goes to bucket -1.
+    points: dict[Any, list[Any]] = {}
+    totals: dict[Any, int] = {}
+    for cell in cells:
+        points.setdefault(cell["label"], []).append(cell["value"])
+        totals[cell["label"]] = totals.get(cell["label"], 0) + cell["n"]
+    result = {}
+    for name, values in points.items():
+        # no more buckets than needed for a quarter of the single-task size each
+        every = max(1, len(values) * limit // (4 * totals[name]))
+        result[name] = sorted(values)[::every] if totals[name] > limit else []
+    return result
+
+
+def _grouped(splits: Sequence[Any]) -> tuple[list[Any], list[list[Any]]]:
+    """Splits in groups of ``STEP``, and the last split of every group but the final one."""
+    groups = [list(splits[i : i + STEP]) for i in range(0, len(splits), STEP)] or [[]]
+    return [g[-1] for g in groups[:-1]], groups
+
+
+def _bucketed(
+    values: DataFrame, column: str, by: str | None, splits: Mapping[Any, list[Any]]
+) -> DataFrame:
+    """Add ``_bucket``: the number of splits below the value, -1 for null. Two searches of a few
+    dozen comparisons: for the group of splits, then inside the group."""
+    c = F.col(column)
 
-    Two steps of at most ``STEP`` comparisons on constant arrays: a coarse one that finds a
-    group of splits, and a fine one inside the group.
-    """
-    if not splits:
-        return F.when(c.isNull(), F.lit(-1)).otherwise(F.lit(0))
-    groups = [list(splits[i : i + STEP]) for i in range(0, len(splits), STEP)]
-    lasts = F.lit([g[-1] for g in groups[:-1]]) if len(groups) > 1 else None
-    if lasts is None:
-        found = F.size(F.filter(F.lit(groups[0]), lambda s: s < c))
-    else:
+    def search(lasts: Column, groups: Column) -> Column:
         group = F.size(F.filter(lasts, lambda s: s < c))
-        fine = F.element_at(F.array(*[F.lit(g) for g in groups]), group + 1)
-        found = group * STEP + F.size(F.filter(fine, lambda s: s < c))
-    return F.when(c.isNull(), F.lit(-1)).otherwise(found)
+        inside = F.size(F.filter(F.element_at(groups, group + 1), lambda s: s < c))
+        return F.when(c.isNull(), F.lit(-1)).otherwise(group * STEP + inside)
+
+    kind = values.schema[column].dataType
+    if by is None:
+        lasts, groups = _grouped(splits.get(None, []))
+        if groups == [[]]:
+            return values.withColumn("_bucket", F.when(c.isNull(), -1).otherwise(0))
+        typed = T.ArrayType(kind)
+        constant = F.array(*[F.array(*map(F.lit, g)).cast(typed) for g in groups])
+        return values.withColumn("_bucket", search(F.array(*map(F.lit, lasts)).cast(typed), constant))
+    schema = T.StructType(
+        [
+            T.StructField(by, values.schema[by].dataType),
+            T.StructField("_lasts", T.ArrayType(kind)),
+            T.StructField("_groups", T.ArrayType(T.ArrayType(kind))),
+        ]
+    )
+    rows = [(label, *_grouped(points)) for label, points in splits.items()]
+    # one row per label
+    table = F.broadcast(values.sparkSession.createDataFrame(rows, schema))
+    return (
+        values.join(table, by, "left")
+        .withColumn("_bucket", F.coalesce(search(F.col("_lasts"), F.col("_groups")), F.lit(0)))
+        .drop("_lasts", "_groups")
+    )
 
 
 def running_positions(
@@ -78,37 +111,43 @@ def running_positions(
     column: str,
     weight: str | None = None,
     descending: bool = False,
-    splits: Sequence[Any] | None = None,
+    by: str | None = None,
+    single_task_rows: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``position`` (number of earlier rows) and ``before`` (sum of their weights).
 
-    ``values`` must hold each value of ``column`` once. Null counts as the lowest value. With
-    ``splits`` given, ``values`` should be a stored table.
+    ``values`` must hold each value of ``column`` once (per label). Null counts as the lowest
+    value. ``stored`` says that ``values`` is a cheap scan already.
     """
-    if splits is None:
+    if not stored:
         values = materialise(values, "positions")
-        splits = split_points(values, column)
+    splits = split_points(values, column, by, single_task_rows)
+    bucketed = _bucketed(values, column, by, splits)
     w = F.col(weight) if weight else F.lit(1).cast("long")
-    bucketed = values.withColumn("_bucket", bucket_of(F.col(column), splits))
+    labels = [by] if by else []
 
     def direction(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
     earlier = (Window.unboundedPreceding, -1)
-    over_buckets = Window.orderBy(direction("_bucket")).rowsBetween(*earlier)
+    over_buckets = Window.partitionBy(*labels).orderBy(direction("_bucket")).rowsBetween(*earlier)
     offsets = (
-        bucketed.groupBy("_bucket")
+        bucketed.groupBy(*labels, "_bucket")
         .agg(F.sum(w).alias("_w"), F.count(F.lit(1)).alias("_n"))
         .select(
-            F.col("_bucket"),
+            *labels,
+            "_bucket",
             F.coalesce(F.sum("_w").over(over_buckets), F.lit(0)).alias("_w0"),
             F.coalesce(F.sum("_n").over(over_buckets), F.lit(0)).alias("_n0"),
         )
     )
-    in_bucket = Window.partitionBy("_bucket").orderBy(direction(column)).rowsBetween(*earlier)
+    in_bucket = (
+        Window.partitionBy(*labels, "_bucket").orderBy(direction(column)).rowsBetween(*earlier)
+    )
     return (
-        # at most CELLS + 2 rows, whatever the input
-        bucketed.join(F.broadcast(offsets), "_bucket")
+        # at most CELLS + 2 rows per label, whatever the input
+        bucketed.join(F.broadcast(offsets), [*labels, "_bucket"])
         .withColumns(
             {
                 "position": F.col("_n0") + F.count(F.lit(1)).over(in_bucket),
@@ -121,9 +160,8 @@ def running_positions(
 
 def number_rows(df: DataFrame, key: str, out: str) -> DataFrame:
     """Consecutive ids 1, 2, ... in the order of the unique column ``key``."""
-    return running_positions(df, key).withColumn(out, (F.col("position") + 1).cast("int")).drop(
-        "position", "before"
-    )
+    placed = running_positions(df, key)
+    return placed.withColumn(out, (F.col("position") + 1).cast("int")).drop("position", "before")
 
 
 def global_ranks(
@@ -146,71 +184,68 @@ def global_ranks(
                 for out, (column, method) in ranks.items()
             }
         )
-    for out, (column, method) in ranks.items():
-        counts = materialise(
-            df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_count")),
-            "value-counts",
+    placed = {}
+    for column in dict.fromkeys(column for column, _ in ranks.values()):
+        counts = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
+        placed[column] = running_positions(
+            counts, "_value", "_count", descending=True, single_task_rows=limit
         )
-        placed = running_positions(
-            counts,
-            "_value",
-            "_count",
-            descending=True,
-            splits=split_points(counts, "_value", single_task_rows),
-        ).select(
+    for column, positions in placed.items():
+        wanted = [(out, method) for out, (c, method) in ranks.items() if c == column]
+        values = positions.select(
             "_value",
-            (F.col("position" if method == "dense" else "before") + 1).cast("int").alias(out),
+            *[
+                (F.col("position" if method == "dense" else "before") + 1).cast("int").alias(out)
+                for out, method in wanted
+            ],
         )
-        df = df.join(placed, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
+        df = df.join(values, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
     return df
 
 
 def exact_quantiles(
-    df: DataFrame,
+    values: DataFrame,
     column: str,
     probabilities: Sequence[float],
+    by: str,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """Linear-interpolation quantiles as rows (``probability``, ``value``), any input size.
+    """Linear-interpolation quantiles per label as rows (label, ``probability``, ``value``).
 
-    Only the rows that hold one of the wanted positions leave the buckets.
+    Works on value counts in buckets; only the rows that hold a wanted position go on.
     """
     counts = materialise(
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_value"))
+        values.where(F.col(column).isNotNull())
+        .groupBy(by, column)
         .agg(F.count(F.lit(1)).alias("_count")),
         "value-counts",
     )
-    total = counts.agg(F.sum("_count").alias("n")).first()["n"]
-    if not total:
-        return df.sparkSession.createDataFrame([], "probability double, value double")
+    totals = {r[by]: r["n"] for r in counts.groupBy(by).agg(F.sum("_count").alias("n")).collect()}
     wanted = []
-    for p in probabilities:
-        exact = p * (total - 1)
-        low = int(exact)
-        wanted.append((float(p), low, min(low + 1, total - 1), exact - low))
-    # as many rows as probabilities were asked for
-    targets = df.sparkSession.createDataFrame(
-        wanted, "probability double, low long, high long, fraction double"
+    for label, total in totals.items():
+        for p in probabilities:
+            exact = p * (total - 1)
+            low = int(exact)
+            wanted.append((label, float(p), low, min(low + 1, total - 1), exact - low))
+    # one row per label and probability, and one per label with the positions they need
+    targets = counts.sparkSession.createDataFrame(
+        wanted, f"{by} string, probability double, low long, high long, fraction double"
+    )
+    needed = targets.groupBy(by).agg(
+        F.array_distinct(F.flatten(F.collect_list(F.array("low", "high")))).alias("_needed")
+    )
+    placed = running_positions(
+        counts, column, "_count", by=by, single_task_rows=single_task_rows, stored=True
     )
-    needed = sorted({q for _, low, high, _ in wanted for q in (low, high)})
-    splits = split_points(counts, "_value", single_task_rows)
-    placed = running_positions(counts, "_value", "_count", splits=splits)
     first, last = F.col("before"), F.col("before") + F.col("_count") - 1
-    hits = (
-        placed.withColumn(
-            "at", F.filter(F.array(*[F.lit(q).cast("long") for q in needed]),
-                           lambda q: q.between(first, last))
-        )
-        .select(F.explode("at").alias("at"), F.col("_value").cast("double").alias("_value"))
+    held = F.filter("_needed", lambda at: at.between(first, last))
+    hits = placed.join(F.broadcast(needed), by).select(
+        by, F.explode(held).alias("at"), F.col(column).cast("double").alias("_value")
     )
-    low = hits.select(F.col("at").alias("low"), F.col("_value").alias("_low"))
-    high = hits.select(F.col("at").alias("high"), F.col("_value").alias("_high"))
-    return (
-        targets.join(F.broadcast(low), "low")
-        .join(F.broadcast(high), "high")
-        .select(
-            "probability",
-            (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("fraction")).alias("value"),
-        )
+    known = hits.groupBy(by).agg(
+        F.map_from_entries(F.collect_list(F.struct("at", "_value"))).alias("_at")
+    )
+    low, high = F.col("_at")[F.col("low")], F.col("_at")[F.col("high")]
+    return targets.join(known, by).select(
+        by, "probability", (low + (high - low) * F.col("fraction")).alias("value")
     )

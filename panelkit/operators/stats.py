@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,47 +62,32 @@ def describe_plus(
     numbers = df.select(*[as_number(c).alias(c) for c in columns])
     if method == "auto":
         method = "exact" if numbers.count() <= exact_in_one_aggregate else "distributed"
-
-    def quantiles_of(c: str) -> Column:
-        if method == "exact":
-            return F.percentile(c, F.array(*[F.lit(q) for q in QUANTILES]))
-        if method == "approx":
-            return F.percentile_approx(c, list(QUANTILES), accuracy)
-        return F.lit(None).cast("array<double>")
-
-    one_row = numbers.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("metric"),
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std_dev"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-                F.skewness(c).alias("skewness"),
-                F.kurtosis(c).alias("kurtosis"),
-                quantiles_of(c).alias("q"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    table = one_row.select(F.inline(F.array(*[F.col(c) for c in columns])))
+    # one narrow row per value: each column is reduced in its own group, in parallel
+    long = numbers.unpivot([], list(columns), "metric", "value").where("value is not null")
+    measures = [
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std_dev"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.skewness("value").alias("skewness"),
+        F.kurtosis("value").alias("kurtosis"),
+    ]
+    if method == "exact":
+        measures.append(F.percentile("value", F.array(*map(F.lit, QUANTILES))).alias("q"))
+    elif method == "approx":
+        measures.append(F.percentile_approx("value", list(QUANTILES), accuracy).alias("q"))
+    table = long.groupBy("metric").agg(*measures)
     if method == "distributed":
-        rows = None
-        for c in columns:
-            q = (
-                ranking.exact_quantiles(numbers, c, QUANTILES, single_task_rows)
-                .agg(F.sort_array(F.collect_list(F.struct("probability", "value"))).alias("_q"))
-                .select(F.lit(c).alias("metric"), F.col("_q.value").alias("_q"))
-            )
-            rows = q if rows is None else rows.union(q)
-        table = table.join(rows, "metric").withColumn("q", F.col("_q")).drop("_q")
+        quantiles = ranking.exact_quantiles(long, "value", QUANTILES, "metric", single_task_rows)
+        in_order = F.sort_array(F.collect_list(F.struct("probability", "value")))
+        table = table.join(quantiles.groupBy("metric").agg(in_order["value"].alias("q")), "metric")
     quantile = {p: F.col("q")[i] for i, p in enumerate(QUANTILES)}
 
     def r(c: Column | str) -> Column:
         return round_even(c, 2)
 
-    return table.where("count > 0").select(
+    return table.select(
         "metric",
         "count",
         r("mean").alias("mean"),
@@ -228,9 +213,7 @@ def corr_spearman(
     if sizes["rows"] <= limit:
         ranked = rows.withColumns({n: _window_rank(c, mask) for n, (c, mask) in masks.items()})
     else:
-        ranked = rows
-        for name, (column, mask) in masks.items():
-            ranked = _bucket_rank(ranked, rows.where(mask), column, name, sizes["rows"], limit)
+        ranked = _add_bucket_ranks(rows, masks, sizes["rows"], limit)
 
     wanted = []
     for i, j in pairs:
@@ -251,20 +234,36 @@ def _window_rank(column: str, mask: Column) -> Column:
     return F.when(mask, up_to - ties + (ties + 1) / 2)
 
 
-def _bucket_rank(
-    ranked: DataFrame, rows: DataFrame, column: str, name: str, total: int, limit: int
+def _add_bucket_ranks(
+    rows: DataFrame, masks: Mapping[str, tuple[str, Column]], total: int, limit: int
 ) -> DataFrame:
-    """Add the average rank that ``rows`` give each value of ``column``."""
+    """Average ranks of every ranking, from the value counts of all rankings in one table."""
+    entries = [
+        F.struct(F.lit(name).alias("_ranking"), F.when(mask, F.col(column)).alias("_value"))
+        for name, (column, mask) in masks.items()
+    ]
     values = materialise(
-        rows.groupBy(column).agg(
-            F.sum("_weight").alias("_n"), F.count(F.lit(1)).alias("_rows")
-        ),
+        rows.select("_weight", F.inline(F.array(*entries)))
+        .where("_value is not null")
+        .groupBy("_ranking", "_value")
+        .agg(F.sum("_weight").alias("_n"), F.count(F.lit(1)).alias("_rows")),
         "value-counts",
     )
-    # fewer than HOT_SHARE values can each hold more than 1/HOT_SHARE of the rows
-    heavy = values.where(F.col("_rows") > max(total / HOT_SHARE, HOT_ROWS)).select(column)
-    hot = [row[0] for row in heavy.collect()]
-    splits = ranking.split_points(values, column, limit)
-    placed = ranking.running_positions(values, column, "_n", splits=splits)
-    ranks = placed.select(column, (F.col("before") + (F.col("_n") + 1) / 2).alias("_rank"))
-    return _join_ranks(ranked, ranks, column, name, hot)
+    # fewer than HOT_SHARE values of a ranking can each hold more than 1/HOT_SHARE of the rows
+    heavy = values.where(F.col("_rows") > max(total / HOT_SHARE, HOT_ROWS))
+    hot: dict[str, list[float]] = {}
+    for row in heavy.select("_ranking", "_value").collect():
+        hot.setdefault(row["_ranking"], []).append(row["_value"])
+    placed = ranking.running_positions(
+        values, "_value", "_n", by="_ranking", single_task_rows=limit, stored=True
+    )
+    ranks = materialise(
+        placed.select(
+            "_ranking", "_value", (F.col("before") + (F.col("_n") + 1) / 2).alias("_rank")
+        ),
+        "value-ranks",
+    )
+    for name, (column, _) in masks.items():
+        own = ranks.where(F.col("_ranking") == name).select(F.col("_value").alias(column), "_rank")
+        rows = _join_ranks(rows, own, column, name, hot.get(name, []))
+    return rows
