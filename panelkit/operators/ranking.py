@@ -19,12 +19,12 @@ labels (such as the names of the columns that are ranked).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelkit.session import materialise
 
@@ -63,47 +63,28 @@ def split_points(
     return result
 
 
-def _grouped(splits: Sequence[Any]) -> tuple[list[Any], list[list[Any]]]:
-    """Splits in groups of ``STEP``, and the last split of every group but the final one."""
-    groups = [list(splits[i : i + STEP]) for i in range(0, len(splits), STEP)] or [[]]
-    return [g[-1] for g in groups[:-1]], groups
-
-
 def _bucketed(
     values: DataFrame, column: str, by: str | None, splits: Mapping[Any, list[Any]]
 ) -> DataFrame:
-    """Add ``_bucket``: the number of splits below the value, -1 for null. Two searches of a few
-    dozen comparisons: for the group of splits, then inside the group."""
-    c = F.col(column)
+    """Add ``_bucket``: the number of splits below the value, -1 for null.
 
-    def search(lasts: Column, groups: Column) -> Column:
-        group = F.size(F.filter(lasts, lambda s: s < c))
-        inside = F.size(F.filter(F.element_at(groups, group + 1), lambda s: s < c))
-        return F.when(c.isNull(), F.lit(-1)).otherwise(group * STEP + inside)
-
-    kind = values.schema[column].dataType
-    if by is None:
-        lasts, groups = _grouped(splits.get(None, []))
-        if groups == [[]]:
-            return values.withColumn("_bucket", F.when(c.isNull(), -1).otherwise(0))
-        typed = T.ArrayType(kind)
-        constant = F.array(*[F.array(*map(F.lit, g)).cast(typed) for g in groups])
-        return values.withColumn("_bucket", search(F.array(*map(F.lit, lasts)).cast(typed), constant))
-    schema = T.StructType(
-        [
-            T.StructField(by, values.schema[by].dataType),
-            T.StructField("_lasts", T.ArrayType(kind)),
-            T.StructField("_groups", T.ArrayType(T.ArrayType(kind))),
-        ]
-    )
-    rows = [(label, *_grouped(points)) for label, points in splits.items()]
-    # one row per label
-    table = F.broadcast(values.sparkSession.createDataFrame(rows, schema))
-    return (
-        values.join(table, by, "left")
-        .withColumn("_bucket", F.coalesce(search(F.col("_lasts"), F.col("_groups")), F.lit(0)))
-        .drop("_lasts", "_groups")
-    )
+    The splits of a label are a constant: groups of ``STEP`` splits, and the last split of all
+    groups but the final one. Two searches of a few dozen comparisons find the group, then the
+    place inside it.
+    """
+    c = F.col(column)
+    constant = {}
+    for label, points in splits.items():
+        groups = [points[i : i + STEP] for i in range(0, len(points), STEP)] or [[]]
+        constant[label or ""] = {"lasts": [g[-1] for g in groups[:-1]], "groups": groups}
+    kind = values.schema[column].dataType.simpleString()
+    layout = f"map<string, struct<lasts: array<{kind}>, groups: array<array<{kind}>>>>"
+    tables = F.from_json(F.lit(json.dumps(constant, default=str)), layout)
+    own = tables[F.col(by) if by else F.lit("")]
+    group = F.size(F.filter(own["lasts"], lambda s: s < c))
+    inside = F.size(F.filter(F.element_at(own["groups"], group + 1), lambda s: s < c))
+    bucket = F.coalesce(group * STEP + inside, F.lit(0))
+    return values.withColumn("_bucket", F.when(c.isNull(), F.lit(-1)).otherwise(bucket))
 
 
 def running_positions(

@@ -117,6 +117,11 @@ def shared_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty text feed as a stored table."""
+    return _once(spark, sf_dir, "feed", lambda: materialise(raw_feed(spark, sf_dir), "feed"))
+
+
 def shared_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature panel as a stored table."""
     return _once(

@@ -58,7 +58,7 @@ def min_cases(sf_dir: str) -> float:
 
 
 _panel, _features, _model = binding.shared_panel, binding.shared_features, binding.shared_model
-_gappy, _raw, _table = binding.gappy_panel, binding.raw_feed, binding.table
+_gappy, _raw, _table = binding.gappy_panel, binding.shared_feed, binding.table
 
 
 # --- ingestion -------------------------------------------------------------------------
