@@ -525,9 +525,8 @@ def suite() -> dict[str, str]:
     both = f"""{last_dose}, both_ AS (
       SELECT l.*, d.people_fully_vaccinated FROM latest l JOIN last_dose d USING (country_id))"""
     return {
-        "dq1_dup_keys": """SELECT c_nationkey AS country_id, CAST(o_orderdate AS DATE) AS date,
-          count(*) AS record_count FROM orders JOIN customer ON o_custkey = c_custkey
-          GROUP BY 1, 2 HAVING count(*) > 1""",
+        "dq1_dup_keys": """SELECT user_id AS country_id, CAST(ts AS DATE) AS date,
+          count(*) AS record_count FROM events GROUP BY 1, 2 HAVING count(*) > 1""",
         "dq2_negative_flows": f"""WITH {PANEL} SELECT country AS country_name, date,
           new_cases - 100 AS new_cases, new_deaths FROM panel
           WHERE new_cases - 100 < 0 OR new_deaths < 0""",

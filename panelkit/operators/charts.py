@@ -212,3 +212,27 @@ def heatmap_rows(wide: DataFrame) -> DataFrame:
     """Long form of ``month_heatmap``: (country, month, millions)."""
     months = [f"`{c}`" for c in wide.columns if c != "country"]
     return wide.unpivot("country", months, "month", "millions")
+
+
+def all_charts(df: DataFrame) -> dict[str, DataFrame]:
+    """The data set of every standard figure with its default parameters."""
+    return {
+        "01_global_daily_cases": daily_total(df),
+        "02_global_daily_deaths": daily_total(df, "new_deaths"),
+        "03_rolling_cases": rolling_of_top(df),
+        "04_rolling_deaths": rolling_of_top(df, "total_deaths", "7_day_deaths_avg"),
+        "05_top_countries_cases": top_entities(df),
+        "06_top_countries_deaths": top_entities(df, "total_deaths"),
+        "07_cfr_comparison": fatality_leaders(df),
+        "08_vaccination_coverage": coverage_over_time(df),
+        "09_cases_per_100k": per_capita_leaders(df),
+        "10_deaths_per_100k": per_capita_leaders(df, "deaths_per_100k"),
+        "11_country_comparisons": entity_comparison(df),
+        "12_regional_trends": region_trend(df),
+        "13_vaccination_vs_cases": coverage_vs_cases(df),
+        "14_vaccination_vs_deaths": coverage_vs_fatality(df),
+        "15_monthly_cases": monthly_total(df),
+        "16_monthly_deaths": monthly_total(df, "new_deaths"),
+        "17_pandemic_waves": wave_timeline(df),
+        "18_cases_heatmap": month_heatmap(df),
+    }

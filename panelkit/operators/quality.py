@@ -56,8 +56,8 @@ def _date_value(df: DataFrame, date: str, formats: Sequence[str]) -> Column:
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: number of surplus rows over one per key. Null keys count as equal."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    return per_key.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("surplus"))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:

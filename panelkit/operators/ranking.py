@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from panelkit.session import materialise
 
 CELLS = 1024
-STEP = 32
 SINGLE_TASK_ROWS = 200_000
 
 
@@ -59,7 +58,9 @@ def split_points(
     for name, values in points.items():
         # no more buckets than needed for a quarter of the single-task size each
         every = max(1, len(values) * limit // (4 * totals[name]))
-        result[name] = sorted(values)[::every] if totals[name] > limit else []
+        # NaN sorts above every number, so it needs no split of its own
+        ordered = sorted(v for v in values if v == v)
+        result[name] = ordered[::every] if totals[name] > limit else []
     return result
 
 
@@ -68,23 +69,26 @@ def _bucketed(
 ) -> DataFrame:
     """Add ``_bucket``: the number of splits below the value, -1 for null.
 
-    The splits of a label are a constant: groups of ``STEP`` splits, and the last split of all
-    groups but the final one. Two searches of a few dozen comparisons find the group, then the
-    place inside it.
+    The splits of a label are a constant array, searched by halving steps; it is padded with
+    nulls, which no value is above.
     """
     c = F.col(column)
-    constant = {}
-    for label, points in splits.items():
-        groups = [points[i : i + STEP] for i in range(0, len(points), STEP)] or [[]]
-        constant[label or ""] = {"lasts": [g[-1] for g in groups[:-1]], "groups": groups}
-    kind = values.schema[column].dataType.simpleString()
-    layout = f"map<string, struct<lasts: array<{kind}>, groups: array<array<{kind}>>>>"
-    tables = F.from_json(F.lit(json.dumps(constant, default=str)), layout)
-    own = tables[F.col(by) if by else F.lit("")]
-    group = F.size(F.filter(own["lasts"], lambda s: s < c))
-    inside = F.size(F.filter(F.element_at(own["groups"], group + 1), lambda s: s < c))
-    bucket = F.coalesce(group * STEP + inside, F.lit(0))
-    return values.withColumn("_bucket", F.when(c.isNull(), F.lit(-1)).otherwise(bucket))
+    depth = max((len(points) for points in splits.values()), default=0).bit_length()
+    if not depth:
+        return values.withColumn("_bucket", F.when(c.isNull(), F.lit(-1)).otherwise(F.lit(0)))
+    padded = {
+        label or "": points + [None] * (2**depth - 1 - len(points))
+        for label, points in splits.items()
+    }
+    layout = f"map<string, array<{values.schema[column].dataType.simpleString()}>>"
+    table = F.from_json(F.lit(json.dumps(padded, default=str)), layout)
+    own = table[F.col(by) if by else F.lit("")]
+    below = F.aggregate(
+        F.lit([2**i for i in reversed(range(depth))]),
+        F.lit(0),
+        lambda at, step: F.when(F.element_at(own, at + step) < c, at + step).otherwise(at),
+    )
+    return values.withColumn("_bucket", F.when(c.isNull(), F.lit(-1)).otherwise(below))
 
 
 def running_positions(
@@ -207,7 +211,7 @@ def exact_quantiles(
         for p in probabilities:
             exact = p * (total - 1)
             low = int(exact)
-            wanted.append((label, float(p), low, min(low + 1, total - 1), exact - low))
+            wanted.append((label, float(p), low, min(low + 1, total - 1), float(exact - low)))
     # one row per label and probability, and one per label with the positions they need
     targets = counts.sparkSession.createDataFrame(
         wanted, f"{by} string, probability double, low long, high long, fraction double"

@@ -8,7 +8,7 @@ join key. Windows without a partition key only see calendar days or months.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -533,3 +533,38 @@ def region_stress(m: Model) -> DataFrame:
         )
         .orderBy(F.desc("cases_millions"), "region_name")
     )
+
+
+# Every query under its file and place in the SQL suite.
+QUERIES: dict[str, Callable[[Model], DataFrame]] = {
+    "data_quality_1": duplicate_keys,
+    "data_quality_2": negative_flows,
+    "data_quality_3": orphans,
+    "data_quality_4": nonmonotonic,
+    "data_quality_5": completeness,
+    "global_1": daily_cases,
+    "global_2": daily_deaths,
+    "global_8": rolling_cases,
+    "global_9": rolling_deaths,
+    "global_11": monthly_cases,
+    "global_12": monthly_deaths,
+    "country_3": top_cases,
+    "country_4": top_deaths,
+    "country_5": top_fatality,
+    "country_6": cases_per_100k,
+    "country_7": deaths_per_100k,
+    "country_13": burden_rank,
+    "country_14": region_rank,
+    "vaccination_10": vaccination_status,
+    "vaccination_16": vaccination_velocity,
+    "vaccination_17": vaccination_tiers,
+    "vaccination_18": vaccination_cross_section,
+    "advanced_15": month_over_month,
+    "advanced_waves": wave_windows,
+    "advanced_day_zero": day_zero,
+}
+
+
+def run_suite(m: Model) -> dict[str, DataFrame]:
+    """All queries of the suite with their default parameters."""
+    return {name: query(m) for name, query in QUERIES.items()}

@@ -21,13 +21,15 @@ def read_csv(
     columns: Sequence[str] | None = None,
     types: dict[str, str] | None = None,
     repartition: int | None = None,
+    order_column: str | None = None,
 ) -> DataFrame:
     """Headered CSV (plain or compressed, told by the file name).
 
     Pass ``schema`` for anything large: without it Spark reads the data once more to infer
     types. ``types`` overrides single columns (bad values become null). Only the asked-for
     columns are parsed. A gzip file cannot be split, so one task reads it: ``repartition``
-    spreads its rows afterwards.
+    spreads its rows afterwards. ``order_column`` adds the place of each row in the input (file,
+    split, row), for operators that keep the first or last of several rows.
     """
     reader = spark.read.option("header", True).option("nanValue", "NaN")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
@@ -37,8 +39,17 @@ def read_csv(
         if _missing(error):
             raise FileNotFoundError(path) from error
         raise
-    if columns is not None:
-        df = df.select(*columns)
+    if columns is not None or order_column:
+        kept = [F.col(c) for c in (df.columns if columns is None else columns)]
+        if order_column:
+            # the id grows along each split; splits are told apart by file and offset
+            place = F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("split"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            kept.append(place.alias(order_column))
+        df = df.select(*kept)
     wanted = {c: F.col(c).try_cast(t) for c, t in (types or {}).items() if c in df.columns}
     df = df.withColumns(wanted) if wanted else df
     return df.repartition(repartition) if repartition else df

@@ -23,6 +23,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "1000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("FATAL")
