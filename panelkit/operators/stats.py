@@ -106,23 +106,29 @@ def describe_plus(
     )
 
 
-def _pairs_to_matrix(
-    one_row: DataFrame, columns: Sequence[str], digits: int
-) -> DataFrame:
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _both(x: str, y: str) -> str:
+    return f"({_quoted(x)} IS NOT NULL AND {_quoted(y)} IS NOT NULL)"
+
+
+def _pairs_to_matrix(one_row: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:
     """Rows (x, y, r) for the whole matrix from a row with one column ``r_i_j`` per pair."""
-    cells = []
-    for i, x in enumerate(columns):
-        for j, y in enumerate(columns):
-            r = F.col(f"r_{min(i, j)}_{max(i, j)}")
-            clipped = F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
-            cells.append(
-                F.struct(
-                    F.lit(x).alias("x"),
-                    F.lit(y).alias("y"),
-                    F.when(r.isNotNull(), round_even(clipped, digits)).alias("r"),
-                )
-            )
-    return one_row.select(F.inline(F.array(*cells)))
+    places = range(len(columns))
+    cells = ", ".join(
+        f"named_struct('i', {i}, 'j', {j}, 'r', r_{min(i, j)}_{max(i, j)})"
+        for i in places
+        for j in places
+    )
+    names = F.array(*map(F.lit, columns))
+    clipped = F.greatest(F.least(F.col("r"), F.lit(1.0)), F.lit(-1.0))
+    return one_row.selectExpr(f"inline(array({cells}))").select(
+        names[F.col("i")].alias("x"),
+        names[F.col("j")].alias("y"),
+        F.when(F.col("r").isNotNull(), round_even(clipped, digits)).alias("r"),
+    )
 
 
 def corr_pearson(
@@ -135,14 +141,15 @@ def corr_pearson(
     """
     columns = present(df, CORRELATED) if columns is None else list(columns)
     numbers = df.select(*[as_number(c).alias(c) for c in columns])
-    wanted = []
-    for i, x in enumerate(columns):
-        for j in range(i, len(columns)):
-            y = columns[j]
-            spread_x = F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x)))
-            spread_y = F.stddev_pop(F.when(F.col(x).isNotNull(), F.col(y)))
-            r = F.try_divide(F.covar_pop(x, y), spread_x * spread_y)
-            wanted.append(r.alias(f"r_{i}_{j}"))
+
+    def pair(x: str, y: str) -> str:
+        both = _both(x, y)
+        spread_x = f"stddev_pop(CASE WHEN {both} THEN {_quoted(x)} END)"
+        spread_y = f"stddev_pop(CASE WHEN {both} THEN {_quoted(y)} END)"
+        return f"try_divide(covar_pop({_quoted(x)}, {_quoted(y)}), {spread_x} * {spread_y})"
+
+    pairs = combinations_with_replacement(range(len(columns)), 2)
+    wanted = [F.expr(f"{pair(columns[i], columns[j])} AS r_{i}_{j}") for i, j in pairs]
     return _pairs_to_matrix(numbers.agg(*wanted), columns, digits)
 
 
@@ -187,13 +194,13 @@ def corr_spearman(
     )
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
 
-    def both(i: int, j: int) -> Column:
-        return F.col(columns[i]).isNotNull() & F.col(columns[j]).isNotNull()
+    def both(i: int, j: int) -> str:
+        return _both(columns[i], columns[j])
 
     sizes = rows.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
-            F.coalesce(F.sum(F.when(both(i, j), F.col("_weight"))), F.lit(0)).alias(f"n_{i}_{j}")
+            F.expr(f"coalesce(sum(CASE WHEN {both(i, j)} THEN _weight END), 0) AS n_{i}_{j}")
             for i, j in pairs
         ],
     ).first()
@@ -206,7 +213,7 @@ def corr_spearman(
         return f"_rank_{i}" if size(i, j) == size(i, i) else f"_rank_{i}_{j}"
 
     masks = {
-        rank_name(i, j): (columns[i], both(i, j))
+        rank_name(i, j): (columns[i], F.expr(both(i, j)))
         for a, b in pairs
         for i, j in ((a, b), (b, a))
     }
@@ -215,14 +222,17 @@ def corr_spearman(
     else:
         ranked = _add_bucket_ranks(rows, masks, sizes["rows"], limit)
 
-    wanted = []
-    for i, j in pairs:
+    def pair(i: int, j: int) -> str:
         middle = (size(i, j) + 1) / 2
-        x = F.when(both(i, j), F.col(rank_name(i, j)) - middle)
-        y = F.when(both(i, j), F.col(rank_name(j, i)) - middle)
-        w = F.col("_weight")
-        r = F.try_divide(F.sum(w * x * y), F.sqrt(F.sum(w * x * x)) * F.sqrt(F.sum(w * y * y)))
-        wanted.append(r.alias(f"r_{i}_{j}"))
+        x, y = f"({rank_name(i, j)} - {middle!r}D)", f"({rank_name(j, i)} - {middle!r}D)"
+
+        def total(product: str) -> str:
+            return f"sum(CASE WHEN {both(i, j)} THEN _weight * {product} END)"
+
+        spread = f"sqrt({total(f'{x} * {x}')}) * sqrt({total(f'{y} * {y}')})"
+        return f"try_divide({total(f'{x} * {y}')}, {spread})"
+
+    wanted = [F.expr(f"{pair(i, j)} AS r_{i}_{j}") for i, j in pairs]
     return _pairs_to_matrix(ranked.agg(*wanted), columns, digits)
 
 
