@@ -151,8 +151,8 @@ feed AS (
 
 _FEED_STATS = """
 stats AS (
-  SELECT count(*) AS total, count_if(date IS NULL) AS invalid,
-         count_if(new_cases < 0) AS negative, count(DISTINCT location) AS entities,
+  SELECT count(*) AS total, count(*) FILTER (WHERE date IS NULL) AS invalid,
+         count(*) FILTER (WHERE new_cases < 0) AS negative, count(DISTINCT location) AS entities,
          min(date) AS first, max(date) AS last,
          count(*) - count(DISTINCT (location, coalesce(CAST(date AS VARCHAR), 'bad'))) AS keys,
          count(*) - count(DISTINCT (location, continent, coalesce(CAST(date AS VARCHAR), 'bad'),
@@ -168,8 +168,8 @@ def per_cent(top: str, bottom: str, scale: str = "1e2", digits: int = 4) -> str:
 def _profile(source: str, columns: dict[str, str]) -> str:
     rows = [
         f"""SELECT {i} AS position, '{c}' AS "column", '{kind}' AS type,
-            count_if("{c}" IS NULL) AS null_count,
-            {even(f'count_if("{c}" IS NULL) / count(*) * 1e2', 2)} AS null_pct FROM {source}"""
+            count(*) FILTER (WHERE "{c}" IS NULL) AS null_count,
+            {even(f'count(*) FILTER (WHERE "{c}" IS NULL) / count(*) * 1e2', 2)} AS null_pct FROM {source}"""
         for i, (c, kind) in enumerate(columns.items(), start=1)
     ]
     return "\nUNION ALL ".join(rows)
@@ -386,7 +386,7 @@ def cleaning() -> dict[str, str]:
           FROM customer""",
         "c2_canonicalise_entity": f"SELECT c_custkey, {segment} AS segment FROM customer",
         "c2_alias_hits": f"""SELECT {segment} AS segment, count(*) AS rows,
-          count_if({segment} <> c_mktsegment) AS renamed FROM customer GROUP BY 1""",
+          count(*) FILTER (WHERE {segment} <> c_mktsegment) AS renamed FROM customer GROUP BY 1""",
         "c3_drop_aggregate_entities": """SELECT c_custkey, c_mktsegment FROM customer
           WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN ('BUILDING', 'FURNITURE')""",
         "c4_parse_dates": f"SELECT o_orderkey, {parsed} FROM orders WHERE o_orderkey % 4 < 3",
@@ -431,21 +431,21 @@ def quality() -> dict[str, str]:
     nulls = []
     # unreadable dates and numbers are text in the feed, not nulls
     for c in ("location", "date", "new_cases", "new_deaths", "total_cases", "population"):
-        count = "0" if c in ("date", "new_cases") else f"count_if({c} IS NULL)"
+        count = "0" if c in ("date", "new_cases") else f"count(*) FILTER (WHERE {c} IS NULL)"
         nulls.append(
             f"""SELECT '{c}' AS "column", CAST({count} AS BIGINT) AS null_count,
             {even(f"{count} / count(*) * 1e2", 2)} AS null_pct FROM feed"""
         )
     return {
         "v1_missing_and_invalid_keys": f"""WITH {FEED} SELECT count(*) AS total_records,
-          count_if(continent IS NULL) AS missing_entity, CAST(0 AS BIGINT) AS missing_date,
-          count_if(date IS NULL) AS invalid_date FROM feed""",
+          count(*) FILTER (WHERE continent IS NULL) AS missing_entity, CAST(0 AS BIGINT) AS missing_date,
+          count(*) FILTER (WHERE date IS NULL) AS invalid_date FROM feed""",
         "v2_duplicate_key_gate": """SELECT CAST(sum(n - 1) AS BIGINT) AS surplus FROM (
           SELECT count(*) AS n FROM events GROUP BY user_id, CAST(ts AS DATE))""",
         "v3_exact_duplicate_gate": """SELECT CAST(sum(n - 1) AS BIGINT) AS surplus FROM (
           SELECT count(*) AS n FROM documents GROUP BY text)""",
-        "v4_negative_flow_gates": f"""WITH {FEED} SELECT count_if(new_cases < 0) AS negative_0,
-          count_if(new_deaths < 0) AS negative_1 FROM feed""",
+        "v4_negative_flow_gates": f"""WITH {FEED} SELECT count(*) FILTER (WHERE new_cases < 0) AS negative_0,
+          count(*) FILTER (WHERE new_deaths < 0) AS negative_1 FROM feed""",
         "v5_coverage_gate": f"""WITH {FEED} SELECT count(DISTINCT location) AS distinct_entities,
           min(date) AS min_date, max(date) AS max_date FROM feed""",
         "v6_quality_report": f"WITH {FEED}, {_FEED_STATS} " + " UNION ALL ".join(gates),

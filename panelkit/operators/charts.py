@@ -20,7 +20,7 @@ COMPARED = ("United States", "India", "United Kingdom", "Germany", "Brazil", "Fr
 
 
 def _total(c: str) -> Column:
-    return F.coalesce(F.sum(c), F.lit(0.0)).alias(c)
+    return F.coalesce(F.sum(c), F.lit(0)).alias(c)
 
 
 def _full_mean(c: str, width: int) -> Column:

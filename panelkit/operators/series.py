@@ -45,7 +45,7 @@ def series_rolling(
             raise ValueError(f"{entity} {entity_value!r} not found")
         series = chosen.select(date, metric)
     else:
-        series = df.groupBy(date).agg(F.coalesce(F.sum(metric), F.lit(0.0)).alias(metric))
+        series = df.groupBy(date).agg(F.coalesce(F.sum(metric), F.lit(0)).alias(metric))
     return series.withColumns(
         {f"{w}d_avg": round_even(F.avg(metric).over(trailing(None, date, w)), 2) for w in windows}
     )

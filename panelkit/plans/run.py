@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from panelkit.operators import charts, cleaning, features, profile, quality
 from panelkit.plans import suite
 from panelkit.plans.model import Model, build_all
 from panelkit.session import materialise
-from panelkit.sources import read_csv, write_feature_panel
+from panelkit.sources import audit_source, read_csv, write_feature_panel
 
 ORDER = "input_order"
 
@@ -33,13 +33,14 @@ class QualityFailure(RuntimeError):
 
 def run_all(
     spark: SparkSession,
-    source: str | Sequence[str],
+    source: str,
     output: str,
     schema: T.StructType | str | None = None,
     min_entities: int = 150,
     stop_on_fail: bool = False,
     provenance: Mapping[str, str] | None = None,
     metadata: Mapping[str, str] | None = None,
+    audit_path: str | None = None,
 ) -> Run:
     """Read, clean, check, enrich, load, query.
 
@@ -48,6 +49,8 @@ def run_all(
     many readers; the results of suite and charts are lazy.
     """
     raw = read_csv(spark, source, schema, order_column=ORDER)
+    if audit_path:
+        audit_source(raw.drop(ORDER), source, source, audit_path, provenance)
     contract = profile.validate_columns(raw.drop(ORDER))
     cleaned = materialise(cleaning.clean_panel(raw, order_by=[ORDER]).drop(ORDER), "cleaned")
     report = quality.quality_report(cleaned, min_entities=min_entities)

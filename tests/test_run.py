@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 
 from panelkit.plans import run
+from panelkit.sources import latest_audit
 
 HEADER = "iso_code,continent,location,date,total_cases,new_cases,total_deaths,new_deaths,population,people_vaccinated,people_fully_vaccinated"
 SCHEMA = ", ".join(f"{c} string" for c in HEADER.split(","))
@@ -38,7 +39,11 @@ def test_run(spark, feed, tmp_path):
     done = run.run_all(
         spark, feed, str(tmp_path / "out"), SCHEMA, min_entities=2, stop_on_fail=True,
         provenance={"data_curator": "tests"}, metadata={"project_name": "tests"},
+        audit_path=str(tmp_path / "audit"),
     )
+    audit = latest_audit(spark, str(tmp_path / "audit")).first()
+    assert (audit["record_count"], audit["column_count"]) == (212, 11)
+    assert audit["notes"] == {"data_curator": "tests"}
     assert done.contract.first()["status"] == "PASS"
     assert done.report.summary.first()["overall_status"] == "PASS"
     assert done.features.count() == 140
