@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.ranking import number_rows, running_positions
-from panelkit.session import materialise
+from panelkit.session import materialise, new_path
 
 # Table names that SQL text refers to.
 VIEW_NAMES = {
@@ -71,14 +71,34 @@ class Model:
         named = {f.name: getattr(self, f.name) for f in fields(self)}
         return {k: v for k, v in named.items() if v is not None}
 
-    def stored(self) -> Model:
-        """The same model with every table written once to the shared folder."""
-        return replace(self, **{k: materialise(v, k) for k, v in self.tables().items()})
-
     def register(self, names: Mapping[str, str] = VIEW_NAMES) -> None:
-        """Create the temporary views that SQL text refers to."""
+        """Create the temporary views that SQL text refers to, and the function ``julianday`` for
+        text that takes day differences with it."""
         for name, table in self.tables().items():
             table.createOrReplaceTempView(names[name])
+        self.daily.sparkSession.sql(
+            "CREATE OR REPLACE TEMPORARY FUNCTION julianday(d DATE) RETURNS DOUBLE "
+            "RETURN unix_date(d) + 2440587.5D"
+        )
+
+    def save(self, buckets: int, names: Mapping[str, str] = VIEW_NAMES) -> Model:
+        """The model as catalog tables in the shared folder, replacing earlier ones.
+
+        Facts are bucketed by entity: windows and aggregates per entity on them need no shuffle.
+        Use about one bucket per 256 MB of fact data.
+        """
+        saved = {}
+        for name, table in self.tables().items():
+            spark = table.sparkSession
+            # bucket files hold whole buckets, so each is written by one task
+            writer = table.write
+            if name in ("daily", "vaccination"):
+                writer = table.repartition(buckets, "country_id").write
+                writer = writer.bucketBy(buckets, "country_id").sortBy("country_id", "date")
+            path = new_path(spark, names[name])
+            writer.mode("overwrite").saveAsTable(names[name], path=path, format="parquet")
+            saved[name] = spark.table(names[name])
+        return replace(self, **saved)
 
     def counts(self) -> DataFrame:
         """Rows per table."""

@@ -6,10 +6,12 @@ import os
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.operators import cleaning, explore, features, latest, quality
 from panelkit.plans import binding, suite
+from panelkit.plans.model import VIEW_NAMES, run_query, run_sql_suite
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -81,6 +83,19 @@ def test_no_window_without_key_on_fact_rows(spark):
         assert "Exchange SinglePartition" not in plan(query(m))
 
 
+def test_bucketed_facts_need_no_shuffle(spark):
+    names = {k: f"saved_{k}" for k in VIEW_NAMES}
+    saved = binding.shared_model(spark, SF_DIR).save(4, names)
+    assert saved.daily.count() == binding.shared_model(spark, SF_DIR).daily.count()
+    days = Window.partitionBy("country_id").orderBy("date")
+    lagged = saved.daily.withColumn("before", F.lag("total_cases").over(days))
+    assert "Exchange" not in plan(lagged)
+    assert "Exchange" not in plan(latest.latest_row(saved.daily, ["total_cases"]))
+    assert suite.top_cases(saved).count() == 20
+    for name in saved.tables():
+        spark.sql(f"DROP TABLE {names[name]}")
+
+
 def test_row_count_reads_no_columns(spark):
     lines = binding.table(spark, SF_DIR, "lineitem").agg(F.count(F.lit(1)))
     assert "ReadSchema: struct<>" in plan(lines)
@@ -92,3 +107,26 @@ def test_entry_runs_on_the_smallest_tables(spark):
     assert entry_points.entry(spark).count() > 0
     for name, query in entry_points.queries().items():
         assert query(spark, SF_DIR).columns, name
+
+
+def test_views_take_common_sql(spark):
+    m = binding.shared_model(spark, SF_DIR)
+    m.register()
+    text = """
+    WITH months AS (
+      SELECT substr(date, 1, 7) AS month, sum(new_cases) AS cases
+      FROM daily_covid_stats GROUP BY substr(date, 1, 7))
+    SELECT month, round(cases * 100.0 / nullif(lag(cases) OVER (ORDER BY month), 0), 2) AS growth
+    FROM months;
+    SELECT c.country_name, cast(julianday(max(d.date)) - julianday(min(d.date)) AS INT) AS days
+    FROM daily_covid_stats d JOIN countries c ON c.country_id = d.country_id GROUP BY c.country_name;
+    SELECT CASE WHEN population >= 2000000 THEN 'large' ELSE 'small' END AS size, count(*) AS n,
+      rank() OVER (ORDER BY sum(population) DESC) AS place
+    FROM countries GROUP BY size;
+    """
+    months, spans, sizes = run_sql_suite(spark, text)
+    assert months.first()["month"] == "1995-01"
+    expected = m.daily.groupBy().agg(F.max(F.datediff("date", F.lit("1995-01-01")))).first()[0]
+    assert 0 < spans.agg(F.max("days")).first()[0] <= expected
+    assert {r["size"]: r["place"] for r in sizes.collect()} == {"large": 1, "small": 2}
+    assert run_query(spark, "SELECT julianday(DATE '2000-01-01') AS j").first()["j"] == 2451544.5
