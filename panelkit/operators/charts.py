@@ -1,7 +1,8 @@
 """The data sets behind the standard figures, ready to plot.
 
 Top-n sets come from an aggregate per entity, so only n rows are broadcast. Windows without
-a partition key run on daily totals: at most one row per calendar day.
+a partition key run on daily totals: at most one row per calendar day. Rows without the key
+of a group (entity, date) are left out.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ def _total(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0)).alias(c)
 
 
+def _per(df: DataFrame, key: str):
+    return df.where(F.col(key).isNotNull()).groupBy(key)
+
+
 def _full_mean(c: str, width: int) -> Column:
     """Trailing mean over daily totals; null until ``width`` rows are there."""
     rows = Window.partitionBy().orderBy("date").rowsBetween(-(width - 1), Window.currentRow)
@@ -35,13 +40,13 @@ def last_value(c: str) -> Column:
 
 def daily_total(df: DataFrame, metric: str = "new_cases", width: int = 7) -> DataFrame:
     """Sum per date and its full trailing mean."""
-    daily = df.groupBy("date").agg(_total(metric))
+    daily = _per(df, "date").agg(_total(metric))
     return daily.withColumn(f"{width}d_avg", _full_mean(metric, width))
 
 
 def top_entities(df: DataFrame, counter: str = "total_cases", n: int = 15) -> DataFrame:
     """The ``n`` entities with the largest value of a counter, in ascending order."""
-    best = top_k(df.groupBy("country").agg(F.max(counter).alias(counter)), counter, n, ["country"])
+    best = top_k(_per(df, "country").agg(F.max(counter).alias(counter)), counter, n, ["country"])
     return best.orderBy(F.col(counter).asc(), F.col("country").desc())
 
 
@@ -62,7 +67,7 @@ def rolling_of_top(
 
 def fatality_leaders(df: DataFrame, min_cases: float = 250_000, n: int = 15) -> DataFrame:
     """Highest last known case fatality among entities with enough cases."""
-    per_entity = df.groupBy("country").agg(
+    per_entity = _per(df, "country").agg(
         F.max("total_cases").alias("total_cases"),
         F.max("total_deaths").alias("total_deaths"),
         last_value("case_fatality_rate").alias("case_fatality_rate"),
@@ -113,7 +118,7 @@ def region_trend(
     ``spark.sql.pivotMaxValues``.
     """
     known = df.where((F.col("region").isNotNull()) & (F.trim("region") != ""))
-    grouped = known.groupBy("date")
+    grouped = _per(known, "date")
     pivot = grouped.pivot("region", list(regions)) if regions else grouped.pivot("region")
     wide = pivot.agg(F.sum(metric)).na.fill(0.0)
     names = [c for c in wide.columns if c != "date"]
@@ -123,8 +128,7 @@ def region_trend(
 def coverage_vs_cases(df: DataFrame, min_population: int = 2_000_000) -> DataFrame:
     """Per entity: highest coverage, cases per 100k and population, first region. Complete rows."""
     return (
-        df.where(F.col("population") >= min_population)
-        .groupBy("country")
+        _per(df.where(F.col("population") >= min_population), "country")
         .agg(
             F.max("fully_vaccinated_rate").alias("fully_vaccinated_rate"),
             F.max("cases_per_100k").alias("cases_per_100k"),
@@ -139,9 +143,9 @@ def coverage_vs_fatality(
     df: DataFrame, min_population: int = 2_000_000, min_cases: float = 50_000
 ) -> DataFrame:
     """As ``coverage_vs_cases``, with the last known case fatality, for rows with enough cases."""
+    large = (F.col("population") >= min_population) & (F.col("total_cases") >= min_cases)
     return (
-        df.where((F.col("population") >= min_population) & (F.col("total_cases") >= min_cases))
-        .groupBy("country")
+        _per(df.where(large), "country")
         .agg(
             F.max("fully_vaccinated_rate").alias("fully_vaccinated_rate"),
             last_value("case_fatality_rate").alias("case_fatality_rate"),
@@ -166,13 +170,13 @@ def straight_line(
 
 def monthly_total(df: DataFrame, metric: str = "new_cases") -> DataFrame:
     """Sum per calendar month."""
-    return df.groupBy(month_of("date").alias("month")).agg(_total(metric))
+    return _per(df.withColumn("month", month_of("date")), "month").agg(_total(metric))
 
 
 def smoothed_total(df: DataFrame, metric: str = "new_cases", width: int = 14) -> DataFrame:
     """Daily total and its trailing mean from the first day on."""
     rows = Window.partitionBy().orderBy("date").rowsBetween(-(width - 1), Window.currentRow)
-    daily = df.groupBy("date").agg(_total(metric))
+    daily = _per(df, "date").agg(_total(metric))
     return daily.withColumn("smoothed", F.avg(metric).over(rows))
 
 
@@ -200,7 +204,8 @@ def month_heatmap(
     months: Sequence[str] | None = None,
 ) -> DataFrame:
     """Entity x month sums in millions for the top ``n`` entities, one column per month, gaps 0."""
-    monthly = _rows_of_top(df, counter, n).withColumn("month", month_of("date"))
+    dated = df.where(F.col("date").isNotNull())
+    monthly = _rows_of_top(dated, counter, n).withColumn("month", month_of("date"))
     grouped = monthly.groupBy("country")
     pivot = grouped.pivot("month", list(months)) if months else grouped.pivot("month")
     wide = pivot.agg(F.sum(metric)).na.fill(0.0)

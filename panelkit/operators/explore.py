@@ -110,7 +110,7 @@ def kpis(latest: DataFrame) -> DataFrame:
 
 def daily_filtered(df: DataFrame) -> DataFrame:
     """Per date: total flows, and totals of the rolling means in their two decimals."""
-    return df.groupBy("date").agg(
+    return df.where(F.col("date").isNotNull()).groupBy("date").agg(
         F.sum("new_cases").alias("new_cases"),
         F.sum("new_deaths").alias("new_deaths"),
         round_even(F.sum("7_day_cases_avg"), 2).alias("7_day_cases_avg"),

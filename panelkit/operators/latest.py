@@ -26,7 +26,7 @@ def last_known(
     df: DataFrame, columns: Sequence[str], entity: str = "country", date: str = "date"
 ) -> DataFrame:
     """Each column's last non-null value per entity (columns may come from different dates)."""
-    return df.groupBy(entity).agg(
+    return df.where(F.col(entity).isNotNull()).groupBy(entity).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(date))).alias(c) for c in columns]
     )
 

@@ -45,7 +45,7 @@ def series_rolling(
             raise ValueError(f"{entity} {entity_value!r} not found")
         series = chosen.select(date, metric)
     else:
-        series = df.groupBy(date).agg(F.coalesce(F.sum(metric), F.lit(0)).alias(metric))
+        series = df.where(F.col(date).isNotNull()).groupBy(date).agg(F.coalesce(F.sum(metric), F.lit(0)).alias(metric))
     return series.withColumns(
         {f"{w}d_avg": round_even(F.avg(metric).over(trailing(None, date, w)), 2) for w in windows}
     )
@@ -112,7 +112,7 @@ def detect_peaks(
     parallel; a group is one series with at most one row per calendar day.
     """
     key = F.col(entity).cast("string") if entity else F.lit("all")
-    points = series.where(F.col(value).isNotNull()).select(
+    points = series.where(F.col(value).isNotNull() & key.isNotNull()).select(
         key.alias("series"), F.col(date).alias("day"), F.col(value).cast("double").alias("value")
     )
 

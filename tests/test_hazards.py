@@ -243,3 +243,15 @@ def test_orphans_and_duplicates_are_found(spark):
     assert suite.orphans(broken).count() == 6
     assert suite.duplicate_keys(broken).count() == 5
     assert suite.duplicate_keys(m).count() == 0
+
+
+def test_rows_without_a_key_form_no_group(spark):
+    df = features_rows(spark).withColumn("people_vaccinated", F.lit(0.0))
+    nameless = df.withColumn("country", F.lit(None).cast("string")).withColumn(
+        "date", F.lit(None).cast("date")
+    )
+    both = df.union(nameless)
+    for chart in (charts.top_entities, charts.daily_total, charts.monthly_total):
+        assert chart(both).count() == chart(df).count()
+    assert explore.latest_per_entity(both).count() == 2
+    assert explore.kpis(explore.latest_per_entity(both)).first()["entities"] == 2
