@@ -26,18 +26,17 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.session import materialise
+from panelkit.session import materialise, materialise_counted
 
 CELLS = 1024
 SINGLE_TASK_ROWS = 200_000
 
 
 def split_points(
-    df: DataFrame, column: str, by: str | None = None, single_task_rows: int | None = None
+    df: DataFrame, column: str, by: str | None, limit: int
 ) -> dict[Any, list[Any]]:
     """Per label, ascending values that cut ``column`` into parts of about equally many distinct
-    values. Empty for a label with at most ``single_task_rows`` non-null rows."""
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    values. Empty for a label with at most ``limit`` non-null rows."""
     value = F.col(column)
     label = F.col(by) if by else F.lit(None).cast("string")
     cells = (
@@ -105,9 +104,13 @@ def running_positions(
     ``values`` must hold each value of ``column`` once (per label). Null counts as the lowest
     value. ``stored`` says that ``values`` is a cheap scan already.
     """
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    splits: dict[Any, list[Any]] = {}
+    rows = limit + 1
     if not stored:
-        values = materialise(values, "positions")
-    splits = split_points(values, column, by, single_task_rows)
+        values, rows = materialise_counted(values, "positions")
+    if rows > limit:
+        splits = split_points(values, column, by, limit)
     bucketed = _bucketed(values, column, by, splits)
     w = F.col(weight) if weight else F.lit(1).cast("long")
     labels = [by] if by else []
@@ -160,8 +163,8 @@ def global_ranks(
     values in buckets and join the ranks back on the value.
     """
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    df = materialise(df, "ranked")
-    if df.count() <= limit:
+    df, rows = materialise_counted(df, "ranked")
+    if rows <= limit:
         functions = {"dense": F.dense_rank, "min": F.rank}
         return df.withColumns(
             {

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,11 +34,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/panelkit/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and return a scan of it."""
     path = new_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``materialise``, and the number of rows, counted while they are written."""
+    rows = Observation()
+    stored = materialise(df.observe(rows, F.count(F.lit(1)).alias("rows")), name)
+    return stored, rows.get["rows"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,13 @@ def test_stored_tables_live_in_the_shared_folder(spark, small):
         shared_dir(spark).replace("file:", "")
     )
     assert new_path(spark, "a") != new_path(spark, "a")
+
+
+def test_a_cluster_needs_a_shared_folder(tmp_path):
+    def fake(setting, master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf={"spark.checkpoint.dir": setting}, sparkContext=context)
+
+    assert shared_dir(fake("hdfs://x/ck/", "yarn")) == "hdfs://x/ck"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(fake(None, "yarn"))
