@@ -191,8 +191,18 @@ def global_ranks(
     return df
 
 
+def value_counts(values: DataFrame, column: str, by: str) -> DataFrame:
+    """Stored table (label, value, ``_count``) of the non-null values."""
+    counts = (
+        values.where(F.col(column).isNotNull())
+        .groupBy(by, column)
+        .agg(F.count(F.lit(1)).alias("_count"))
+    )
+    return materialise(counts, "value-counts")
+
+
 def exact_quantiles(
-    values: DataFrame,
+    counts: DataFrame,
     column: str,
     probabilities: Sequence[float],
     by: str,
@@ -200,14 +210,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per label as rows (label, ``probability``, ``value``).
 
-    Works on value counts in buckets; only the rows that hold a wanted position go on.
+    Works on ``value_counts`` in buckets; only the rows that hold a wanted position go on.
     """
-    counts = materialise(
-        values.where(F.col(column).isNotNull())
-        .groupBy(by, column)
-        .agg(F.count(F.lit(1)).alias("_count")),
-        "value-counts",
-    )
     totals = {r[by]: r["n"] for r in counts.groupBy(by).agg(F.sum("_count").alias("n")).collect()}
     wanted = []
     for label, total in totals.items():

@@ -64,24 +64,24 @@ def describe_plus(
         method = "exact" if numbers.count() <= exact_in_one_aggregate else "distributed"
     # one narrow row per value: each column is reduced in its own group, in parallel
     long = numbers.unpivot([], list(columns), "metric", "value").where("value is not null")
-    measures = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std_dev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.skewness("value").alias("skewness"),
-        F.kurtosis("value").alias("kurtosis"),
-    ]
-    if method == "exact":
-        measures.append(F.percentile("value", F.array(*map(F.lit, QUANTILES))).alias("q"))
-    elif method == "approx":
-        measures.append(F.percentile_approx("value", list(QUANTILES), accuracy).alias("q"))
-    table = long.groupBy("metric").agg(*measures)
     if method == "distributed":
-        quantiles = ranking.exact_quantiles(long, "value", QUANTILES, "metric", single_task_rows)
-        in_order = F.sort_array(F.collect_list(F.struct("probability", "value")))
-        table = table.join(quantiles.groupBy("metric").agg(in_order["value"].alias("q")), "metric")
+        table = _describe_counts(ranking.value_counts(long, "value", "metric"), single_task_rows)
+    else:
+        wanted = F.array(*map(F.lit, QUANTILES))
+        table = long.groupBy("metric").agg(
+            F.count("value").alias("count"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std_dev"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            F.skewness("value").alias("skewness"),
+            F.kurtosis("value").alias("kurtosis"),
+            (
+                F.percentile("value", wanted)
+                if method == "exact"
+                else F.percentile_approx("value", wanted, accuracy)
+            ).alias("q"),
+        )
     quantile = {p: F.col("q")[i] for i, p in enumerate(QUANTILES)}
 
     def r(c: Column | str) -> Column:
@@ -106,6 +106,37 @@ def describe_plus(
     )
 
 
+def _describe_counts(counts: DataFrame, single_task_rows: int | None) -> DataFrame:
+    """The measures of ``describe_plus`` from value counts: the data itself is read only once."""
+    w, value = F.col("_count"), F.col("value")
+    totals = counts.groupBy("metric").agg(
+        F.sum(w).alias("count"),
+        (F.sum(w * value) / F.sum(w)).alias("mean"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    )
+    distance = value - F.col("mean")
+    moments = (
+        counts.join(F.broadcast(totals.select("metric", "mean")), "metric")  # one row per column
+        .groupBy("metric")
+        .agg(*[F.sum(w * distance**k).alias(f"m{k}") for k in (2, 3, 4)])
+    )
+    quantiles = ranking.exact_quantiles(counts, "value", QUANTILES, "metric", single_task_rows)
+    in_order = F.sort_array(F.collect_list(F.struct("probability", "value")))
+    n, m2, m3, m4 = map(F.col, ("count", "m2", "m3", "m4"))
+    return (
+        totals.join(moments, "metric")
+        .join(quantiles.groupBy("metric").agg(in_order["value"].alias("q")), "metric")
+        .withColumns(
+            {
+                "std_dev": F.sqrt(F.try_divide(m2, n - 1)),
+                "skewness": F.try_divide(F.sqrt(n) * m3, m2**1.5),
+                "kurtosis": F.try_divide(n * m4, m2**2) - 3,
+            }
+        )
+    )
+
+
 def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 

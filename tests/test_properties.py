@@ -118,7 +118,8 @@ def test_ranks_do_not_depend_on_the_way(spark, limit):
 @pytest.mark.parametrize("limit", [10, 100_000])
 def test_quantiles_are_exact(spark, limit):
     df = long_tail(spark).select(F.lit("m").alias("metric"), "v")
-    got = ranking.exact_quantiles(df, "v", [0, 0.01, 0.25, 0.5, 0.9, 0.999, 1], "metric", limit)
+    counts = ranking.value_counts(df, "v", "metric")
+    got = ranking.exact_quantiles(counts, "v", [0, 0.01, 0.25, 0.5, 0.9, 0.999, 1], "metric", limit)
     data = df.toPandas()["v"].dropna()
     for row in got.collect():
         assert row["value"] == pytest.approx(data.quantile(row["probability"]), abs=1e-12)
@@ -174,11 +175,12 @@ def test_hot_values_are_salted(spark, monkeypatch):
 
 @pytest.mark.parametrize("method", ["exact", "distributed"])
 def test_describe_methods_agree(spark, method):
-    df = long_tail(spark).withColumn("empty", F.lit(None).cast("double"))
-    got = stats.describe_plus(df, ["v", "empty"], method=method, single_task_rows=100)
-    reference = stats.describe_plus(df, ["v", "empty"])
+    extra = {"empty": F.lit(None).cast("double"), "constant": F.lit(2.0)}
+    df, columns = long_tail(spark).withColumns(extra), ["v", "empty", "constant"]
+    got = stats.describe_plus(df, columns, method=method, single_task_rows=100)
+    reference = stats.describe_plus(df, columns)
     assert canonical(got.toPandas()) == canonical(reference.toPandas())
-    assert got.count() == 1, "columns without values are left out"
+    assert got.count() == 2, "columns without values are left out"
 
 
 # --- panel operators -------------------------------------------------------------------
