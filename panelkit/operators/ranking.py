@@ -20,7 +20,7 @@ labels (such as the names of the columns that are ranked).
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,11 +98,13 @@ def running_positions(
     by: str | None = None,
     single_task_rows: int | None = None,
     stored: bool = False,
+    buckets_where: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``position`` (number of earlier rows) and ``before`` (sum of their weights).
 
     ``values`` must hold each value of ``column`` once (per label). Null counts as the lowest
-    value. ``stored`` says that ``values`` is a cheap scan already.
+    value. ``stored`` says that ``values`` is a cheap scan already. ``buckets_where`` gets the weight
+    before a bucket and inside it; the rows of other buckets are dropped before the sort.
     """
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     splits: dict[Any, list[Any]] = {}
@@ -126,10 +128,14 @@ def running_positions(
         .select(
             *labels,
             "_bucket",
+            "_w",
             F.coalesce(F.sum("_w").over(over_buckets), F.lit(0)).alias("_w0"),
             F.coalesce(F.sum("_n").over(over_buckets), F.lit(0)).alias("_n0"),
         )
     )
+    if buckets_where is not None:
+        offsets = offsets.where(buckets_where(F.col("_w0"), F.col("_w")))
+    offsets = offsets.drop("_w")
     in_bucket = (
         Window.partitionBy(*labels, "_bucket").orderBy(direction(column)).rowsBetween(*earlier)
     )
@@ -210,29 +216,45 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per label as rows (label, ``probability``, ``value``).
 
-    Works on ``value_counts`` in buckets; only the rows that hold a wanted position go on.
+    Works on ``value_counts``; only the buckets that hold a wanted position are sorted.
     """
     totals = {r[by]: r["n"] for r in counts.groupBy(by).agg(F.sum("_count").alias("n")).collect()}
+    if not totals:
+        return counts.select(by, F.lit(0.0).alias("probability"), F.lit(0.0).alias("value"))
     wanted = []
     for label, total in totals.items():
         for p in probabilities:
             exact = p * (total - 1)
             low = int(exact)
             wanted.append((label, float(p), low, min(low + 1, total - 1), float(exact - low)))
-    # one row per label and probability, and one per label with the positions they need
+    # one row per label and probability
     targets = counts.sparkSession.createDataFrame(
         wanted, f"{by} string, probability double, low long, high long, fraction double"
     )
-    needed = targets.groupBy(by).agg(
-        F.array_distinct(F.flatten(F.collect_list(F.array("low", "high")))).alias("_needed")
-    )
+    needed = {
+        label: sorted({q for w in wanted if w[0] == label for q in w[2:4]}) for label in totals
+    }
+
+    def held(start: Column, weight: Column) -> Column:
+        """The needed positions among the ``weight`` positions from ``start`` on."""
+        positions = F.create_map(
+            *[x for k, v in needed.items() for x in (F.lit(k), F.lit(v).cast("array<long>"))]
+        )[F.col(by)]
+        return F.filter(positions, lambda at: (at >= start) & (at < start + weight))
+
     placed = running_positions(
-        counts, column, "_count", by=by, single_task_rows=single_task_rows, stored=True
+        counts,
+        column,
+        "_count",
+        by=by,
+        single_task_rows=single_task_rows,
+        stored=True,
+        buckets_where=lambda start, weight: F.size(held(start, weight)) > 0,
     )
-    first, last = F.col("before"), F.col("before") + F.col("_count") - 1
-    held = F.filter("_needed", lambda at: at.between(first, last))
-    hits = placed.join(F.broadcast(needed), by).select(
-        by, F.explode(held).alias("at"), F.col(column).cast("double").alias("_value")
+    hits = placed.select(
+        by,
+        F.explode(held(F.col("before"), F.col("_count"))).alias("at"),
+        F.col(column).cast("double").alias("_value"),
     )
     known = hits.groupBy(by).agg(
         F.map_from_entries(F.collect_list(F.struct("at", "_value"))).alias("_at")

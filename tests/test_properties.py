@@ -125,6 +125,13 @@ def test_quantiles_are_exact(spark, limit):
         assert row["value"] == pytest.approx(data.quantile(row["probability"]), abs=1e-12)
 
 
+def test_quantiles_of_nothing(spark):
+    empty = spark.createDataFrame([("m", None)], "metric string, v double")
+    counts = ranking.value_counts(empty, "v", "metric")
+    assert ranking.exact_quantiles(counts, "v", [0.5], "metric").count() == 0
+    assert stats.describe_plus(empty, ["v"], method="distributed").count() == 0
+
+
 def test_row_numbers_are_consecutive_and_ordered(spark):
     names = [f"name {i:05d}" for i in range(3000)]
     df = spark.createDataFrame([(n,) for n in names], ["name"]).repartition(5)
