@@ -2,8 +2,58 @@
 
 from __future__ import annotations
 
+import math
+
+from panelkit.llm.license_scan import BREAKS, CONTAINMENT, PHRASES, TEMPLATES
+
 SPACE = r"[\x20\x09-\x0D]+"
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _licenses() -> str:
+    phrases = ", ".join(f"({phrase.split()}, '{label}')" for phrase, label in PHRASES)
+    templates = ", ".join(
+        f"({(words := sorted(set(text.split())))}, '{label}', {math.ceil(CONTAINMENT * len(words) - 1e-9)})"
+        for text, label in TEMPLATES
+    )
+    return rf"""
+        WITH phrases(parts, label) AS (VALUES {phrases}),
+        templates(parts, label, need) AS (VALUES {templates}),
+        d AS (
+            SELECT doc_id, {LOWER} AS text,
+                   list_filter(regexp_split_to_array({LOWER}, '{BREAKS}'), lambda x: x != '') AS w
+            FROM documents
+        ),
+        places AS (
+            SELECT doc_id, label, i FROM d, phrases, unnest(range(len(w))) AS u(i)
+            WHERE list_contains(w, parts[-1]) AND w[i + 1 : i + len(parts)] = parts
+        ),
+        base AS (
+            SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+                   list_sort(list_distinct(list(label))) AS base
+            FROM places GROUP BY doc_id
+        ),
+        lines AS (
+            SELECT doc_id, regexp_split_to_array(line, '{BREAKS}') AS words
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+        ),
+        hits AS (
+            SELECT doc_id, label, len(list_intersect(words, parts)) / len(parts) AS share
+            FROM lines, templates WHERE len(list_intersect(words, parts)) >= need
+        ),
+        more AS (
+            SELECT doc_id, list(DISTINCT label) AS more, max(share) AS share FROM hits GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(array_to_string(base, ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(list_concat(base, more))), ','), '')
+                   AS labels,
+               CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN more USING (doc_id)
+    """
+
+
 ORACLES = {
     "op5_exact_dedup": rf"""
         WITH t AS (
@@ -14,6 +64,7 @@ ORACLES = {
                doc_id = min(doc_id) OVER g AS kept, sha256(text) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY text)
     """,
+    "op10_license_scan": _licenses(),
 }
 
 

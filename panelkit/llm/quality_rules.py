@@ -10,12 +10,11 @@ number of cells and travels as a literal, so scoring needs no shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import whole_text, words
+from panelkit.llm.common import once, whole_text, words
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 MIN_WORDS = 50  # fixed value
@@ -77,11 +76,6 @@ def repeated_words(hashes: Column) -> Column:
     return once(windows, count)
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, also where the optimizer moves the expression."""
-    return F.transform(F.array(value), use)[0]
-
-
 def cells(hashes: Column, buckets: int) -> Column:
     """The cells of all words, and of all pairs of neighbouring words."""
     pairs = F.transform(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import exact_dedup, quality_rules
+from panelkit.llm import exact_dedup, license_scan, quality_rules
 from panelkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,5 +29,10 @@ def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judged.withColumnRenamed("id", "doc_id")
 
 
+def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    scanned = license_scan.license_scan(table(spark, sf, "documents"))
+    return scanned.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
