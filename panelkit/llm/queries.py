@@ -4,15 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import exact_dedup, license_scan, quality_rules
+from panelkit.llm import exact_dedup, license_scan, personal_data, quality_rules
 from panelkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    found = personal_data.personal_spans(table(spark, sf, "documents"))
+    kinds = [name for name, _ in personal_data.PATTERNS]
+    names = F.array(*map(F.lit, [*kinds, "term"]))
+
+    def joined(spans: Column) -> Column:
+        as_text = F.transform(
+            spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])
+        )
+        return F.array_join(as_text, ",")
+
+    base = F.filter("spans", lambda s: s["kind"] < len(kinds))
+    counts = (
+        F.size(F.filter("spans", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{name}")
+        for kind, name in enumerate(kinds)
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"),
