@@ -38,7 +38,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value) -> str:
-    if value is None or value is pd.NaT or (isinstance(value, float) and np.isnan(value)):
+    if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and np.isnan(value)):
         return "null"
     if isinstance(value, (bool, np.bool_)):
         return str(bool(value))
