@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import exact_dedup, license_scan, personal_data, quality_rules
+from panelkit.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    personal_data,
+    quality_rules,
+    token_counts,
+)
 from panelkit.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     found = personal_data.personal_spans(table(spark, sf, "documents"))
     kinds = [name for name, _ in personal_data.PATTERNS]
@@ -47,6 +58,10 @@ def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     trusted = quality_rules.trusted_documents(table(spark, sf, "labels"))
     judged = quality_rules.quality_rules(table(spark, sf, "documents"), trusted)
