@@ -11,8 +11,10 @@ from panelkit.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    packing,
     personal_data,
     quality_rules,
+    source_mixing,
     token_counts,
 )
 from panelkit.llm.common import table
@@ -62,12 +64,22 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf, "documents"))
+    return packed.drop("row").withColumnRenamed("id", "doc_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     trusted = quality_rules.trusted_documents(table(spark, sf, "labels"))
     judged = quality_rules.quality_rules(table(spark, sf, "documents"), trusted)
     return judged.withColumnRenamed("id", "doc_id")
 
 
+def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixture = source_mixing.mix(table(spark, sf, "documents"))
+    return mixture.documents().withColumnRenamed("id", "doc_id")
+
+
 def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     scanned = license_scan.license_scan(table(spark, sf, "documents"))
     return scanned.withColumnRenamed("id", "doc_id")

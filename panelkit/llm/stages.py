@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import exact_dedup, quality_rules
+from panelkit.llm import exact_dedup, packing, quality_rules, source_mixing
 from panelkit.llm.common import table
 
 
@@ -18,3 +19,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.keep_first(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mixture of the sources takes; ``n_chars`` is that of the new text."""
+    mixed = source_mixing.mixed_texts(docs, source_mixing.mix(docs), "doc_id", "text")
+    return mixed.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes: shard, bin, and the room left in it."""
+    return packing.pack(docs).drop("row").withColumnRenamed("id", "doc_id")
