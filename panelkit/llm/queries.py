@@ -11,6 +11,7 @@ from panelkit.llm import (
     exact_dedup,
     language_id,
     license_scan,
+    ngram_join,
     packing,
     personal_data,
     quality_rules,
@@ -26,6 +27,15 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.identify(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     found = personal_data.personal_spans(table(spark, sf, "documents"))
     kinds = [name for name, _ in personal_data.PATTERNS]

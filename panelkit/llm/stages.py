@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import exact_dedup, packing, quality_rules, source_mixing
+from panelkit.llm import exact_dedup, ngram_join, packing, quality_rules, source_mixing
 from panelkit.llm.common import table
 
 
@@ -21,6 +21,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: sequences of five words, similarity 0.8."""
+    return ngram_join.keep_one(docs, percent=80, n_words=5)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mixture of the sources takes; ``n_chars`` is that of the new text."""
     mixed = source_mixing.mixed_texts(docs, source_mixing.mix(docs), "doc_id", "text")
