@@ -14,6 +14,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", stages.quality),
     ("exact_dedup", stages.exact),
+    ("ngram_jaccard_join", stages.near),
+    ("source_mixing", stages.mixing),
+    ("best_fit_packing", stages.packed),
 ]
 
 #: SQL cannot express hashed likelihood ratios, seeded draws and best-fit search; the tests
