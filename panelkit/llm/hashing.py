@@ -53,10 +53,10 @@ def between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column one after the other, and where each text starts (and the end)."""
-    texts = texts.cast(pa.large_string()) if not pa.types.is_large_string(texts.type) else texts
+    """The bytes of a text column one after the other, and where each text starts (and the end)."""
+    texts = texts.cast(pa.large_binary())
     if texts.null_count:
-        texts = texts.fill_null("")
+        texts = texts.fill_null(b"")
     buffers = texts.buffers()
     offsets = np.frombuffer(buffers[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] else np.zeros(0, np.uint8)

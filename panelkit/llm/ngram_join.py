@@ -13,11 +13,13 @@ Frequent tokens are those with a sufficient share in some stretch of the input,
 pass over all documents; the table is bounded, and the classes only steer the work: which tokens
 are called frequent does not change the result.
 
-Verification. Sets that meet under a token or pair are first compared by size and by parity
-sketches, whose distance never exceeds that of the sets, so that no pair is lost. In large groups
-only a spanning forest of the pairs left is verified, and the group is looked at again until all
-its pairs are linked, refuted, or within one component. Verified are the full sets. Documents with
-equal sets are one node throughout.
+Verification. Sets that meet under a key are first compared by size and by parity sketches, whose
+distance never exceeds that of the sets, so that no pair is lost. The few members of a small group
+give all their pairs. Crowded keys mostly come from one large family of copies and bring the same
+sets together again and again, so sets that crowded keys connect are compared once, as a family, in
+blocks. Of the pairs left in a family only some between any two components are verified, more in
+each round, until all pairs are linked, refuted, or within one component. Verified are the full
+sets. Documents with equal sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -36,13 +38,14 @@ from panelkit.llm.hashing import MIXERS, mixed, shingles, steps
 from panelkit.session import materialise, materialise_counted
 
 PERCENT = 85
-STRETCH = 1 << 20  # tokens counted together
-SHARE = 1 << 17  # a token is frequent from one in so many tokens of a stretch
-LEAST = 16  # and from so many occurrences
+STRETCH = 1 << 22  # tokens counted together
+SHARE = 1 << 19  # a token is frequent from one in so many tokens of a stretch
+LEAST = 6  # and from so many occurrences
 FREQUENT = 1 << 17  # frequent tokens at most: 1 MB of hashes
 CLASS_WIDTH = 12  # size class divided by this: number of token classes
 SMALL = 64  # members of a group whose pairs are listed outright
-BLOCK = 4096  # members of a group compared in one task
+BLOCK = 4096  # members of a family compared in one task
+FAMILY = 64 * BLOCK  # larger families are compared key by key
 
 SETS = "row long, id long, content long, n long, h1 long, h2 long, keys array<long>, sketch binary"
 PAIRS = "a long, b long"
@@ -90,7 +93,7 @@ def frequent_tokens(docs: DataFrame, text_column: str, n_words: int) -> np.ndarr
 
 
 def sketch_bits(n: int) -> int:
-    return max(64, 1 << int(n - 1).bit_length())
+    return max(64, 1 << int(2 * n - 1).bit_length())
 
 
 def index_keys(tokens: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
@@ -203,10 +206,12 @@ class Sketches:
         return passed
 
 
-def forest(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Pairs that span all that may be linked in a group and is neither linked nor refuted yet.
+def candidates(group: pd.DataFrame, percent: int, budget: int) -> list[tuple[int, int]]:
+    """Pairs of a group that may link and are neither linked nor refuted yet.
 
-    The group holds the members met under one key, or two blocks of them to be compared.
+    The group has two blocks to be compared, or one. Of the pairs of a member with another
+    component up to ``budget`` are given. With a budget of 0 it is one, and the two count as one
+    component from then on: a spanning forest.
     """
     node, block = group["node"].to_numpy(), group["block"].to_numpy()
     label = pd.factorize(group["component"].to_numpy())[0]
@@ -220,30 +225,29 @@ def forest(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
         others = others[label[others] != label[member]]
         if not len(others):
             continue
+        given: dict[int, int] = {}
         for other in others[sketches.survive(np.full(len(others), member), others)]:
-            pair = (min(node[member], node[other]), max(node[member], node[other]))
-            if label[member] != label[other] and pair not in refuted:
-                label[label == label[other]] = label[member]
+            pair = (int(min(node[member], node[other])), int(max(node[member], node[other])))
+            if given.get(label[other], 0) < max(1, budget) and pair not in refuted:
+                given[label[other]] = given.get(label[other], 0) + 1
                 pairs.append(pair)
+        if not budget:
+            label[np.isin(label, list(given))] = label[member]
     return pairs
 
 
 def listed_pairs(frame: pd.DataFrame, percent: int) -> np.ndarray:
-    """All pairs of members of one key that size and sketch let pass; ``frame`` is sorted by key."""
-    key, node = frame["key"].to_numpy(), frame["node"].to_numpy()
-    left, right = [], []
-    for apart in range(1, SMALL):
-        at = np.flatnonzero(key[apart:] == key[:-apart]) if apart < len(key) else np.zeros(0, int)
+    """All pairs of members of one key whose sizes can link; ``frame`` is sorted by key."""
+    key, node, n = (frame[c].to_numpy() for c in ("key", "node", "n"))
+    pairs = [np.zeros((0, 2), np.int64)]
+    for apart in range(1, min(SMALL, len(key))):
+        at = np.flatnonzero(key[apart:] == key[:-apart])
         if not len(at):
             break
-        left.append(at)
-        right.append(at + apart)
-    if not left:
-        return np.zeros((0, 2), np.int64)
-    left, right = np.concatenate(left), np.concatenate(right)
-    passed = Sketches(frame["n"].to_numpy(), list(frame["sketch"]), percent).survive(left, right)
-    pairs = np.sort(np.stack([node[left[passed]], node[right[passed]]], axis=1), axis=1)
-    return np.unique(pairs, axis=0)
+        low, high = np.minimum(n[at], n[at + apart]), np.maximum(n[at], n[at + apart])
+        at = at[100 * low >= percent * high]
+        pairs.append(np.sort(np.stack([node[at], node[at + apart]], axis=1), axis=1))
+    return np.unique(np.concatenate(pairs), axis=0)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pd.DataFrame]:
@@ -340,15 +344,16 @@ def near_duplicates(
     )
     reps = materialise(reps, "ngram-nodes")
     nodes = materialise(
-        rows.join(reps.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node"),
-        "ngram-node-sets",
+        rows.drop("sketch", "h1", "h2")
+        .withColumnRenamed("row", "node")
+        .join(reps.select("node"), "node", "left_semi"),
+        "ngram-node-keys",
     )
     entries = nodes.select("node", "n", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    met = materialise(
-        entries.join(shared, "key").join(nodes.select("node", "sketch"), "node"), "ngram-groups"
-    )
-    links = _all_links(docs, nodes, met, id_column, text_column, percent, n_words)
+    met = materialise(entries.join(shared, "key"), "ngram-groups")
+    sketches = rows.select(F.col("row").alias("node"), "sketch")
+    links = all_links(docs, nodes, met, sketches, id_column, text_column, percent, n_words)
     found = components(links)
     named = found.join(reps.select("node", "rep_id"), "node")
     first = F.min(F.struct(F.col("rep_id").isNull(), "rep_id", "node")).alias("first")
@@ -367,49 +372,74 @@ def near_duplicates(
     )
 
 
-def _all_links(
+def families(met: DataFrame, sketches: DataFrame) -> DataFrame:
+    """group, i, j, block, node, n, sketch: the sets that crowded keys connect, by pairs of blocks."""
+    crowded = met.filter(F.col("members") > SMALL).select("key", "node", "n", "members")
+    ties = crowded.join(crowded.groupBy("key").agg(F.min("node").alias("low")), "key")
+    family = components(ties.select(F.col("low").alias("a"), F.col("node").alias("b")))
+    family = materialise(family.withColumnRenamed("component", "family"), "ngram-families")
+    sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    sized = family.join(sizes, "family")
+    whole = sized.filter(F.col("size") <= FAMILY).select("node", F.col("family").alias("group"), "size")
+    whole = whole.join(met.select("node", "n").distinct(), "node")
+    by_key = crowded.join(sized.filter(F.col("size") > FAMILY).select("node"), "node", "left_semi")
+    groups = whole.select("group", "node", "n", "size").unionByName(
+        by_key.select(F.col("key").alias("group"), "node", "n", F.col("members").alias("size"))
+    )
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    return (
+        groups.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .join(sketches, "node")
+        .select(
+            "group",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            "block",
+            "node",
+            "n",
+            "sketch",
+        )
+    )
+
+
+def all_links(
     docs: DataFrame,
     nodes: DataFrame,
     met: DataFrame,
+    sketches: DataFrame,
     id_column: str,
     text_column: str,
     percent: int,
     n_words: int,
 ) -> DataFrame:
-    """Links that connect whatever is linked: all of small groups, spanning ones of large groups."""
+    """Links a, b that connect whatever is linked: all of small groups, enough of families."""
 
-    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in _whole_groups(batches, ["key"]):
             yield _as_pairs(listed_pairs(frame, percent))
 
-    def large(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in _whole_groups(batches, ["key", "i", "j"]):
-            for _, group in frame.groupby(["key", "i", "j"], sort=False):
-                yield _as_pairs(forest(group, percent))
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m = batch.num_rows
+            sizes = np.concatenate([batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()])
+            held = batch.column("left").to_pylist() + batch.column("right").to_pylist()
+            passed = Sketches(sizes, held, percent).survive(np.arange(m), np.arange(m, 2 * m))
+            yield batch.select(["a", "b"]).filter(pa.array(passed))
 
     def verify(pairs: DataFrame) -> DataFrame:
         known = verified(docs, nodes, pairs, id_column, text_column, percent, n_words)
         return materialise(known, "ngram-verified")
 
-    listed = met.filter(F.col("members") <= SMALL).select("key", "node", "n", "sketch")
-    pairs = listed.repartition("key").sortWithinPartitions("key").mapInArrow(small, PAIRS).distinct()
+    few = met.filter(F.col("members") <= SMALL).select("key", "node", "n")
+    pairs = few.repartition("key").sortWithinPartitions("key").mapInArrow(listed, PAIRS).distinct()
+    sized = sketches.join(nodes.select("node", "n"), "node")
+    left = sized.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
+    right = sized.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
+    pairs = pairs.join(left, "a").join(right, "b").mapInArrow(likely, PAIRS)
     done = verify(materialise(pairs, "ngram-pairs"))
-    blocks = F.ceil(F.col("members") / BLOCK)
-    crowded = met.filter(F.col("members") > SMALL).withColumn(
-        "block", F.pmod(F.xxhash64("node"), blocks).cast("int")
-    )
-    crowded = materialise(
-        crowded.withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))).select(
-            "key",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            "block",
-            "node",
-            "n",
-            "sketch",
-        ),
-        "ngram-crowded",
-    )
+    crowded = materialise(families(met, sketches), "ngram-crowded")
+    budgets = [0, 0, 2]  # two spanning forests, then what is left
     while not crowded.isEmpty():
         labels = components(done.filter("linked").select("a", "b"))
         no = done.filter(~F.col("linked")).groupBy(F.col("a").alias("node")).agg(
@@ -421,11 +451,23 @@ def _all_links(
             .withColumn("component", F.coalesce("component", "node"))
             .withColumn("refuted", F.coalesce("refuted", F.array().cast("array<bigint>")))
         )
-        by_group = current.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-        pairs, n = materialise_counted(by_group.mapInArrow(large, PAIRS).distinct(), "ngram-pairs")
+
+        budget = budgets.pop(0) if len(budgets) > 1 else budgets[0]
+
+        def compared(
+            batches: Iterator[pa.RecordBatch], budget: int = budget
+        ) -> Iterator[pa.RecordBatch]:
+            for frame in _whole_groups(batches, ["group", "i", "j"]):
+                for _, group in frame.groupby(["group", "i", "j"], sort=False):
+                    yield _as_pairs(candidates(group, percent, budget))
+
+        by_group = current.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "node")
+        pairs, n = materialise_counted(by_group.mapInArrow(compared, PAIRS).distinct(), "ngram-pairs")
         if not n:
             break
         done = materialise(done.unionByName(verify(pairs)), "ngram-verified")
+        if len(budgets) == 1:
+            budgets[0] *= 4
     return done.filter("linked").select("a", "b")
 
 

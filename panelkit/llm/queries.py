@@ -16,6 +16,7 @@ from panelkit.llm import (
     personal_data,
     quality_rules,
     source_mixing,
+    suffix_dedup,
     token_counts,
 )
 from panelkit.llm.common import table
@@ -60,6 +61,11 @@ def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+    return found.drop("spans", "kept").withColumnRenamed("id", "doc_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents")).select(
         F.col("id").alias("doc_id"),
