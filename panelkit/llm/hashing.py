@@ -25,7 +25,7 @@ def powers(factor: int, n: int) -> np.ndarray:
     """factor**0 ... factor**(n-1) modulo 2**64."""
     known = _powers.get(factor)
     if known is None or len(known) < n:
-        steps = np.full(max(n, STEP + 1), factor, dtype=np.uint64)
+        steps = np.full(1 << n.bit_length(), factor, dtype=np.uint64)
         steps[0] = 1
         known = _powers[factor] = np.cumprod(steps, dtype=np.uint64)
     return known[:n]
@@ -63,13 +63,13 @@ def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def steps(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``STEP`` bytes of text each, one text at least."""
+def steps(batch: pa.RecordBatch, column: str, size: int = STEP) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each, one text at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
     ends = np.cumsum(lengths)
     begin = 0
     while begin < len(lengths):
-        full = ends[begin] - lengths[begin] + STEP
+        full = ends[begin] - lengths[begin] + size
         end = max(begin + 1, int(np.searchsorted(ends, full, side="right")))
         yield batch.slice(begin, end - begin)
         begin = end

@@ -33,6 +33,7 @@ from panelkit.llm.hashing import between, joined_bytes, mixed, prefix_hash, step
 from panelkit.session import materialise
 
 LENGTH = 100
+SHARD = 3 << 19  # bytes; arrays of a shard take some hundred times as much
 GRAM = 20
 
 #: kind 0: a document; 1: starts first..last of strings that are repeats; 2: the strings that
@@ -313,7 +314,7 @@ def remove_repeats(
 
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "text"):
+            for part in steps(batch, "text", SHARD):
                 yield shard_rows(part, length)
 
     rows = texts.withColumn("row", F.monotonically_increasing_id())
@@ -377,7 +378,7 @@ KEPT = (
 
 def _without(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The texts without the bytes that the marked strings cover."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in steps(whole, "text")):
         out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "spans": [], "kept": []}
         for text, marks in zip(batch.column("text"), batch.column("marks")):
             data = text.as_buffer().to_pybytes()
