@@ -44,11 +44,12 @@ LEAST = 6  # and from so many occurrences
 FREQUENT = 1 << 17  # frequent tokens at most: 1 MB of hashes
 CLASS_WIDTH = 12  # size class divided by this: number of token classes
 SMALL = 64  # members of a group whose pairs are listed outright
-BLOCK = 4096  # members of a family compared in one task
-FAMILY = 64 * BLOCK  # larger families are compared key by key
+BLOCK = 8192  # members of a family compared in one task
+FAMILY = 16 * BLOCK  # larger families are compared key by key
 
 SETS = "row long, id long, content long, n long, h1 long, h2 long, keys array<long>, sketch binary"
 PAIRS = "a long, b long"
+GROUP = ["group", "i", "j"]
 
 
 def need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -269,18 +270,12 @@ def _as_pairs(pairs) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def verified(
-    docs: DataFrame,
-    nodes: DataFrame,
-    pairs: DataFrame,
-    id_column: str,
-    text_column: str,
-    percent: int,
-    n_words: int,
+def full_sets(
+    docs: DataFrame, nodes: DataFrame, wanted: DataFrame, id_column: str, text_column: str, n_words: int
 ) -> DataFrame:
-    """a, b, linked of each pair, from the full sets of both."""
+    """node, tokens of the ``wanted`` nodes, stored: their texts are looked up and hashed again."""
 
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, "text"):
                 owner, tokens = shingles(part.column("text"), n_words)
@@ -290,21 +285,7 @@ def verified(
                     [part.column("node"), pa.array(sets, pa.binary())], names=["node", "tokens"]
                 )
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for left, right in zip(batch.column("left"), batch.column("right")):
-                x = np.frombuffer(left.as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(right.as_buffer(), dtype=np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
-                names=["a", "b", "linked"],
-            )
-
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    places = nodes.join(wanted, "node", "left_semi").select(
+    places = nodes.join(wanted.distinct(), "node", "left_semi").select(
         "node", F.col("id").alias("__id"), F.col("content").alias("__content")
     )
     texts = docs.join(
@@ -312,14 +293,58 @@ def verified(
         F.col(id_column).cast("long").eqNullSafe(F.col("__id"))
         & (F.xxhash64(whole_text(text_column)) == F.col("__content")),
     ).select("node", F.col(text_column).alias("text"))
-    sets = materialise(
-        texts.mapInArrow(full_sets, "node long, tokens binary").dropDuplicates(["node"]), "ngram-full-sets"
-    )
+    sets = texts.mapInArrow(hashed, "node long, tokens binary").dropDuplicates(["node"])
+    return materialise(sets, "ngram-full-sets")
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def ends(pairs: DataFrame, *also: str) -> DataFrame:
+    """The nodes of some pairs."""
+    return pairs.select(*also, F.col("a").alias("node")).union(pairs.select(*also, "b")).distinct()
+
+
+def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, linked of each pair: the sets come to the pairs."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("left"), batch.column("right"))
+            found = [
+                linked(*(np.frombuffer(side.as_buffer(), dtype=np.uint64) for side in pair), percent)
+                for pair in both
+            ]
+            columns = [batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
+
     with_left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("left")), "a")
     with_both = with_left.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("right")), "b")
     return with_both.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long, linked boolean")
 
 
+def verified_groups(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, linked of each pair: a set comes once to all pairs of a family's two blocks."""
+
+    def compared(left: pa.Table, right: pa.Table) -> pa.Table:
+        tokens = {
+            node.as_py(): np.frombuffer(held.as_buffer(), dtype=np.uint64)
+            for node, held in zip(right.column("node"), right.column("tokens"))
+        }
+        a, b = left.column("a").to_pylist(), left.column("b").to_pylist()
+        found = [linked(tokens[x], tokens[y], percent) for x, y in zip(a, b)]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(found, pa.bool_())})
+
+    held = ends(pairs, *GROUP).join(sets, "node").select("node", "tokens", *(F.col(c).alias(f"of_{c}") for c in GROUP))
+    return (
+        pairs.groupBy(*GROUP)
+        .cogroup(held.groupBy(*(f"of_{c}" for c in GROUP)))
+        .applyInArrow(compared, "a long, b long, linked boolean")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -427,9 +452,8 @@ def all_links(
             passed = Sketches(sizes, held, percent).survive(np.arange(m), np.arange(m, 2 * m))
             yield batch.select(["a", "b"]).filter(pa.array(passed))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        known = verified(docs, nodes, pairs, id_column, text_column, percent, n_words)
-        return materialise(known, "ngram-verified")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        return full_sets(docs, nodes, ends(pairs), id_column, text_column, n_words)
 
     few = met.filter(F.col("members") <= SMALL).select("key", "node", "n")
     pairs = few.repartition("key").sortWithinPartitions("key").mapInArrow(listed, PAIRS).distinct()
@@ -437,7 +461,8 @@ def all_links(
     left = sized.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
     right = sized.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
     pairs = pairs.join(left, "a").join(right, "b").mapInArrow(likely, PAIRS)
-    done = verify(materialise(pairs, "ngram-pairs"))
+    pairs = materialise(pairs, "ngram-pairs")
+    done = materialise(verified_pairs(pairs, sets_of(pairs), percent), "ngram-verified")
     crowded = materialise(families(met, sketches), "ngram-crowded")
     budgets = [0, 0, 2]  # two spanning forests, then what is left
     while not crowded.isEmpty():
@@ -457,15 +482,21 @@ def all_links(
         def compared(
             batches: Iterator[pa.RecordBatch], budget: int = budget
         ) -> Iterator[pa.RecordBatch]:
-            for frame in _whole_groups(batches, ["group", "i", "j"]):
-                for _, group in frame.groupby(["group", "i", "j"], sort=False):
-                    yield _as_pairs(candidates(group, percent, budget))
-
-        by_group = current.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "node")
-        pairs, n = materialise_counted(by_group.mapInArrow(compared, PAIRS).distinct(), "ngram-pairs")
+            for frame in _whole_groups(batches, GROUP):
+                for place, group in frame.groupby(GROUP, sort=False):
+                    found = _as_pairs(candidates(group, percent, budget))
+                    for name, value in zip(GROUP, place):
+                        kind = pa.int64() if name == "group" else pa.int32()
+                        found = found.append_column(name, pa.array([int(value)] * found.num_rows, kind))
+                    yield found
+
+        by_group = current.repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
+        schema = f"{PAIRS}, group long, i int, j int"
+        pairs, n = materialise_counted(by_group.mapInArrow(compared, schema), "ngram-pairs")
         if not n:
             break
-        done = materialise(done.unionByName(verify(pairs)), "ngram-verified")
+        known = verified_groups(pairs, sets_of(pairs), percent)
+        done = materialise(done.unionByName(known).distinct(), "ngram-verified")
         if len(budgets) == 1:
             budgets[0] *= 4
     return done.filter("linked").select("a", "b")
