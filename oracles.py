@@ -358,6 +358,8 @@ def ingestion() -> dict[str, str]:
     documents = dict(doc_id="bigint", text="string", lang="string", source="string", n_chars="bigint")
     return {
         "i1_read_csv": f"WITH {PANEL} SELECT country, date, new_cases, population FROM panel",
+        "i1_read_csv_documents": "SELECT doc_id, text, source FROM documents",
+        "i1_read_csv_by_name": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
         "i1_read_csv_gz": f"""WITH {PANEL} SELECT country, date,
           CAST(total_cases AS BIGINT) AS total_cases FROM panel""",
         "i1_read_csv_batches": f"WITH {PANEL} SELECT country, date, new_deaths FROM panel",

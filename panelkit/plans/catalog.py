@@ -52,11 +52,6 @@ PANEL_SCHEMA = (
 )
 
 
-def min_cases(sf_dir: str) -> float:
-    """Case threshold that leaves entities in the smallest test data too."""
-    return 5_000 if sf_dir.rstrip("/").endswith("sf0.001") else MIN_CASES
-
-
 _panel, _features, _model = binding.shared_panel, binding.shared_features, binding.shared_model
 _gappy, _raw, _table = binding.gappy_panel, binding.shared_feed, binding.table
 
@@ -72,6 +67,22 @@ def i1_read_csv(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def i1_read_csv_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks, written and read again."""
+    path = new_path(spark, "documents-csv")
+    sources.write_csv(_table(spark, sf, "documents").select("doc_id", "text", "source"), path)
+    schema = "doc_id long, text string, source string"
+    return sources.read_csv(spark, path, schema, multi_line=True)
+
+
+def i1_read_csv_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with its columns in another order and one more than the schema."""
+    path = new_path(spark, "customer-csv")
+    customers = _table(spark, sf, "customer").select("c_mktsegment", "c_name", "c_nationkey", "c_custkey")
+    sources.write_csv(customers, path)
+    return sources.read_csv(spark, path, "c_custkey long, c_name string, c_mktsegment string")
+
+
 def i1_read_csv_gz(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "panel-csv-gz")
     sources.write_csv(_panel(spark, sf), path, compression="gzip")
@@ -471,12 +482,14 @@ def on_model(operator: Callable[..., DataFrame], **parameters) -> Query:
 
 
 def with_min_cases(operator: Callable[..., DataFrame], source=_features, **parameters) -> Query:
-    return lambda spark, sf: operator(source(spark, sf), min_cases=min_cases(sf), **parameters)
+    return lambda spark, sf: operator(source(spark, sf), min_cases=MIN_CASES, **parameters)
 
 
 def queries() -> dict[str, Query]:
     return {
         "i1_read_csv": i1_read_csv,
+        "i1_read_csv_documents": i1_read_csv_documents,
+        "i1_read_csv_by_name": i1_read_csv_by_name,
         "i1_read_csv_gz": i1_read_csv_gz,
         "i1_read_csv_batches": i1_read_csv_batches,
         "i2_validate_columns": i2_validate_columns,
@@ -577,7 +590,7 @@ def queries() -> dict[str, Query]:
         "f13_chart_vax_vs_cases": on_features(charts.coverage_vs_cases),
         "f14_chart_vax_vs_cfr": with_min_cases(charts.coverage_vs_fatality),
         "f14_straight_line": lambda spark, sf: charts.straight_line(
-            charts.coverage_vs_fatality(_features(spark, sf), min_cases=min_cases(sf)),
+            charts.coverage_vs_fatality(_features(spark, sf), min_cases=MIN_CASES),
             "fully_vaccinated_rate",
             "case_fatality_rate",
         ),
@@ -594,16 +607,16 @@ def queries() -> dict[str, Query]:
         "d3_kpis": lambda spark, sf: explore.kpis(_snapshot(spark, sf)),
         "d4_daily_filtered": lambda spark, sf: explore.daily_filtered(_filtered(spark, sf)),
         "d5_leaderboards": lambda spark, sf: explore.leaderboards(
-            _snapshot(spark, sf), min_cases=min_cases(sf)
+            _snapshot(spark, sf), min_cases=MIN_CASES
         ),
         "d5_coverage_scatter": lambda spark, sf: explore.coverage_scatter(
-            _snapshot(spark, sf), min_cases=min_cases(sf) / 2
+            _snapshot(spark, sf), min_cases=MIN_CASES / 2
         ),
         "d6_explorer_tail": lambda spark, sf: explore.explorer_tail(_filtered(spark, sf)),
         "d7_insights": lambda spark, sf: explore.insights(
             explore.daily_filtered(_filtered(spark, sf)),
             _snapshot(spark, sf),
-            min_cases=min_cases(sf),
+            min_cases=MIN_CASES,
         ),
         "ranks_bucketed": global_ranks_customers,
     }

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from panelkit.session import new_path
+from panelkit.sources.csv import QUOTES, in_file_order
 
 
 def csv_stream(
@@ -22,14 +23,16 @@ def csv_stream(
     files_per_batch: int = 1,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Streaming scan of a directory of headered CSV files."""
+    """Streaming scan of a directory of headered CSV files; columns are found by name."""
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     df = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(in_file_order(spark, path, wanted))
         .option("header", True)
+        .options(**QUOTES)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
-    return df.select(*columns) if columns is not None else df
+    return df.select(*(wanted.names if columns is None else columns))
 
 
 def for_each_batch(
