@@ -138,14 +138,15 @@ def expected_uses(
     return uses[:none]
 
 
-def _by_width(words: list[str], at_once: int = 20_000) -> Iterator[np.ndarray]:
-    """Numbers of the words in blocks of similar length."""
+def _by_width(words: list[str], letters: int = 300_000) -> Iterator[np.ndarray]:
+    """Numbers of the words in blocks of similar length, of so many letters with their padding."""
     lengths = np.array([len(w) for w in words])
     order = np.argsort(lengths, kind="stable")
     begin = 0
     while begin < len(order):
         longest = max(8, 2 * lengths[order[begin]])
-        end = min(np.searchsorted(lengths[order], longest, side="right"), begin + at_once)
+        some = begin + max(1, letters // longest)
+        end = min(np.searchsorted(lengths[order], longest, side="right"), some)
         yield order[begin:end]
         begin = end
 
