@@ -1,93 +1,39 @@
 """Global order statistics without a single-task sort.
 
-A window without ``partitionBy`` moves every row into one task. The operators here cut
-the value range into buckets first, sort inside each bucket, and add the totals of the
-lower buckets as an offset:
+A window without ``partitionBy`` moves every row into one task. The operators here sort in
+buckets and add the totals of the lower buckets as an offset:
 
-1. one small aggregate picks split points: values are hashed into ``CELLS`` cells and
-   each cell keeps one value, so the sample is uniform over *distinct* values however
-   often one of them repeats, and at most ``CELLS`` rows reach the driver;
-2. the data is reduced to one row per distinct value (partial aggregation first);
-3. each bucket is sorted on its own, and the offsets are a table of ``CELLS`` rows.
+1. the data is reduced to one row per distinct value (partial aggregation first);
+2. these rows are dealt by range, so that a partition holds neighbouring values, and stored
+   with the number of their partition: the bucket. Spark samples the ranges, and merges small
+   partitions by their size, so the number of buckets follows the data;
+3. each bucket is sorted on its own; the offsets are a table with a row per bucket.
 
-Inputs of at most ``SINGLE_TASK_ROWS`` rows use one bucket. The reduced data is read
-several times (sample, offsets, sort), so it is stored in the shared folder first.
-
-``by`` ranks several value sets held in one table, told apart by a label column with few
-labels (such as the names of the columns that are ranked).
+There is one way for inputs of all sizes. ``by`` ranks several value sets held in one table,
+told apart by a label column (such as the names of the columns that are ranked).
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping, Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.session import materialise, materialise_counted
-
-CELLS = 1024
-SINGLE_TASK_ROWS = 200_000
+from panelkit.session import materialise
 
 
-def split_points(
-    df: DataFrame, column: str, by: str | None, limit: int
-) -> dict[Any, list[Any]]:
-    """Per label, ascending values that cut ``column`` into parts of about equally many distinct
-    values. Empty for a label with at most ``limit`` non-null rows."""
-    value = F.col(column)
-    label = F.col(by) if by else F.lit(None).cast("string")
-    cells = (
-        df.where(value.isNotNull())
-        .groupBy(label.alias("label"), F.pmod(F.xxhash64(value), F.lit(CELLS)).alias("cell"))
-        .agg(
-            F.min_by(value, F.xxhash64(F.lit("order"), value)).alias("value"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .collect()
-    )
-    points: dict[Any, list[Any]] = {}
-    totals: dict[Any, int] = {}
-    for cell in cells:
-        points.setdefault(cell["label"], []).append(cell["value"])
-        totals[cell["label"]] = totals.get(cell["label"], 0) + cell["n"]
-    result = {}
-    for name, values in points.items():
-        # no more buckets than needed for a quarter of the single-task size each
-        every = max(1, len(values) * limit // (4 * totals[name]))
-        # NaN sorts above every number, so it needs no split of its own
-        ordered = sorted(v for v in values if v == v)
-        result[name] = ordered[::every] if totals[name] > limit else []
-    return result
+def _direction(name: str, descending: bool) -> Column:
+    return F.col(name).desc() if descending else F.col(name).asc()
 
 
-def _bucketed(
-    values: DataFrame, column: str, by: str | None, splits: Mapping[Any, list[Any]]
+def in_buckets(
+    values: DataFrame, column: str, by: str | None = None, descending: bool = False
 ) -> DataFrame:
-    """Add ``_bucket``: the number of splits below the value, -1 for null.
-
-    The splits of a label are a constant array, searched by halving steps; it is padded with
-    nulls, which no value is above.
-    """
-    c = F.col(column)
-    depth = max((len(points) for points in splits.values()), default=0).bit_length()
-    if not depth:
-        return values.withColumn("_bucket", F.when(c.isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    padded = {
-        label or "": points + [None] * (2**depth - 1 - len(points))
-        for label, points in splits.items()
-    }
-    layout = f"map<string, array<{values.schema[column].dataType.simpleString()}>>"
-    table = F.from_json(F.lit(json.dumps(padded, default=str)), layout)
-    own = table[F.col(by) if by else F.lit("")]
-    below = F.aggregate(
-        F.lit([2**i for i in reversed(range(depth))]),
-        F.lit(0),
-        lambda at, step: F.when(F.element_at(own, at + step) < c, at + step).otherwise(at),
-    )
-    return values.withColumn("_bucket", F.when(c.isNull(), F.lit(-1)).otherwise(below))
+    """Stored rows with ``_bucket``: within a label, lower buckets hold earlier values."""
+    labels = [F.col(by)] if by else []
+    dealt = values.repartitionByRange(*labels, _direction(column, descending))
+    return materialise(dealt.withColumn("_bucket", F.spark_partition_id()), "buckets")
 
 
 def running_positions(
@@ -96,32 +42,21 @@ def running_positions(
     weight: str | None = None,
     descending: bool = False,
     by: str | None = None,
-    single_task_rows: int | None = None,
-    stored: bool = False,
     buckets_where: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``position`` (number of earlier rows) and ``before`` (sum of their weights).
 
     ``values`` must hold each value of ``column`` once (per label). Null counts as the lowest
-    value. ``stored`` says that ``values`` is a cheap scan already. ``buckets_where`` gets the weight
-    before a bucket and inside it; the rows of other buckets are dropped before the sort.
+    value. A table that ``in_buckets`` has stored in the same order is used as it is.
+    ``buckets_where`` gets the weight before a bucket and inside it; the rows of other buckets
+    are dropped before the sort.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    splits: dict[Any, list[Any]] = {}
-    rows = limit + 1
-    if not stored:
-        values, rows = materialise_counted(values, "positions")
-    if rows > limit:
-        splits = split_points(values, column, by, limit)
-    bucketed = _bucketed(values, column, by, splits)
+    bucketed = values if "_bucket" in values.columns else in_buckets(values, column, by, descending)
     w = F.col(weight) if weight else F.lit(1).cast("long")
     labels = [by] if by else []
-
-    def direction(name: str) -> Column:
-        return F.col(name).desc() if descending else F.col(name).asc()
-
     earlier = (Window.unboundedPreceding, -1)
-    over_buckets = Window.partitionBy(*labels).orderBy(direction("_bucket")).rowsBetween(*earlier)
+    # one row per bucket and label
+    over_buckets = Window.partitionBy(*labels).orderBy("_bucket").rowsBetween(*earlier)
     offsets = (
         bucketed.groupBy(*labels, "_bucket")
         .agg(F.sum(w).alias("_w"), F.count(F.lit(1)).alias("_n"))
@@ -137,11 +72,12 @@ def running_positions(
         offsets = offsets.where(buckets_where(F.col("_w0"), F.col("_w")))
     offsets = offsets.drop("_w")
     in_bucket = (
-        Window.partitionBy(*labels, "_bucket").orderBy(direction(column)).rowsBetween(*earlier)
+        Window.partitionBy(*labels, "_bucket")
+        .orderBy(_direction(column, descending))
+        .rowsBetween(*earlier)
     )
     return (
-        # at most CELLS + 2 rows per label, whatever the input
-        bucketed.join(F.broadcast(offsets), [*labels, "_bucket"])
+        bucketed.join(offsets, [*labels, "_bucket"])
         .withColumns(
             {
                 "position": F.col("_n0") + F.count(F.lit(1)).over(in_bucket),
@@ -158,32 +94,17 @@ def number_rows(df: DataFrame, key: str, out: str) -> DataFrame:
     return placed.withColumn(out, (F.col("position") + 1).cast("int")).drop("position", "before")
 
 
-def global_ranks(
-    df: DataFrame,
-    ranks: Mapping[str, tuple[str, str]],
-    single_task_rows: int | None = None,
-) -> DataFrame:
+def global_ranks(df: DataFrame, ranks: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Add descending ranks over all rows; ``ranks`` maps output -> (column, "dense" | "min").
 
-    ``df`` is stored first. Small inputs use plain rank windows; larger ones rank the distinct
-    values in buckets and join the ranks back on the value.
+    ``df`` is stored first. The distinct values are ranked, and the ranks joined back on the
+    value; Spark divides the rows of frequent values among tasks.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    df, rows = materialise_counted(df, "ranked")
-    if rows <= limit:
-        functions = {"dense": F.dense_rank, "min": F.rank}
-        return df.withColumns(
-            {
-                out: functions[method]().over(Window.orderBy(F.col(column).desc()))
-                for out, (column, method) in ranks.items()
-            }
-        )
+    df = materialise(df, "ranked")
     placed = {}
     for column in dict.fromkeys(column for column, _ in ranks.values()):
         counts = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
-        placed[column] = running_positions(
-            counts, "_value", "_count", descending=True, single_task_rows=limit
-        )
+        placed[column] = running_positions(counts, "_value", "_count", descending=True)
     for column, positions in placed.items():
         wanted = [(out, method) for out, (c, method) in ranks.items() if c == column]
         values = positions.select(
@@ -198,25 +119,22 @@ def global_ranks(
 
 
 def value_counts(values: DataFrame, column: str, by: str) -> DataFrame:
-    """Stored table (label, value, ``_count``) of the non-null values."""
+    """Stored table (label, value, ``_count``) of the non-null values, in buckets."""
     counts = (
         values.where(F.col(column).isNotNull())
         .groupBy(by, column)
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    return materialise(counts, "value-counts")
+    return in_buckets(counts, column, by)
 
 
 def exact_quantiles(
-    counts: DataFrame,
-    column: str,
-    probabilities: Sequence[float],
-    by: str,
-    single_task_rows: int | None = None,
+    counts: DataFrame, column: str, probabilities: Sequence[float], by: str
 ) -> DataFrame:
     """Linear-interpolation quantiles per label as rows (label, ``probability``, ``value``).
 
-    Works on ``value_counts``; only the buckets that hold a wanted position are sorted.
+    Works on ``value_counts``; only the buckets that hold a wanted position are sorted. The
+    totals of the labels are the only rows that the driver gets.
     """
     totals = {r[by]: r["n"] for r in counts.groupBy(by).agg(F.sum("_count").alias("n")).collect()}
     if not totals:
@@ -247,8 +165,6 @@ def exact_quantiles(
         column,
         "_count",
         by=by,
-        single_task_rows=single_task_rows,
-        stored=True,
         buckets_where=lambda start, weight: F.size(held(start, weight)) > 0,
     )
     hits = placed.select(

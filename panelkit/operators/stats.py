@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import as_number, round_even
@@ -35,37 +35,30 @@ CORRELATED = (
     "gdp_per_capita",
 )
 QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
-HOT_SHARE = 1000  # a value is hot when it holds more than 1/1000 of the rows
-HOT_ROWS = 10_000  # ... and at least this many
-HOT_SALTS = 64
 
 
 def describe_plus(
     df: DataFrame,
     columns: Sequence[str] | None = None,
-    method: str = "auto",
+    method: str = "distributed",
     accuracy: int = 10_000,
-    exact_in_one_aggregate: int = 1_000_000,
-    single_task_rows: int | None = None,
 ) -> DataFrame:
     """One row per numeric column: count, mean, sample deviation, quartiles, IQR, upper
     percentiles, extremes, population skewness and excess kurtosis, two decimals. Columns
     without any value are left out.
 
-    ``method``: ``exact`` or ``approx`` quantiles inside the one aggregate, ``distributed`` exact
-    quantiles from bucketed value counts, ``auto`` = exact up to ``exact_in_one_aggregate`` rows
-    and distributed beyond (an exact percentile keeps every distinct value in one buffer).
+    ``method``: ``distributed`` takes everything from value counts in buckets, for inputs of any
+    size; ``exact`` and ``approx`` are one aggregate with the built-in percentiles (an exact one
+    keeps every distinct value in one buffer).
     """
-    if method not in ("auto", "exact", "approx", "distributed"):
+    if method not in ("exact", "approx", "distributed"):
         raise ValueError(f"unknown method {method!r}")
     columns = present(df, DESCRIBED) if columns is None else list(columns)
     numbers = df.select(*[as_number(c).alias(c) for c in columns])
-    if method == "auto":
-        method = "exact" if numbers.count() <= exact_in_one_aggregate else "distributed"
     # one narrow row per value: each column is reduced in its own group, in parallel
     long = numbers.unpivot([], list(columns), "metric", "value").where("value is not null")
     if method == "distributed":
-        table = _describe_counts(ranking.value_counts(long, "value", "metric"), single_task_rows)
+        table = _describe_counts(ranking.value_counts(long, "value", "metric"))
     else:
         wanted = F.array(*map(F.lit, QUANTILES))
         table = long.groupBy("metric").agg(
@@ -106,7 +99,7 @@ def describe_plus(
     )
 
 
-def _describe_counts(counts: DataFrame, single_task_rows: int | None) -> DataFrame:
+def _describe_counts(counts: DataFrame) -> DataFrame:
     """The measures of ``describe_plus`` from value counts: the data itself is read only once."""
     w, value = F.col("_count"), F.col("value")
     totals = counts.groupBy("metric").agg(
@@ -121,7 +114,7 @@ def _describe_counts(counts: DataFrame, single_task_rows: int | None) -> DataFra
         .groupBy("metric")
         .agg(*[F.sum(w * distance**k).alias(f"m{k}") for k in (2, 3, 4)])
     )
-    quantiles = ranking.exact_quantiles(counts, "value", QUANTILES, "metric", single_task_rows)
+    quantiles = ranking.exact_quantiles(counts, "value", QUANTILES, "metric")
     in_order = F.sort_array(F.collect_list(F.struct("probability", "value")))
     n, m2, m3, m4 = map(F.col, ("count", "m2", "m3", "m4"))
     return (
@@ -189,47 +182,29 @@ def corr_matrix(long: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("x").pivot("y", list(columns)).agg(F.first("r"))
 
 
-def _join_ranks(
-    rows: DataFrame, ranks: DataFrame, column: str, out: str, hot: Sequence[float]
-) -> DataFrame:
-    """Left join of one rank per value. Rows of hot values are spread over ``HOT_SALTS`` salts
-    and meet a copy of the (single) rank row there."""
-    is_hot = F.col(column).isin(list(hot)) if hot else F.lit(False)
-    salted = F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_SALTS)).cast("int")
-    left = rows.withColumn("_salt", F.when(is_hot, salted).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = ranks.select(F.col(column), F.col("_rank").alias(out), F.explode(copies).alias("_salt"))
-    return left.join(right, [column, "_salt"], "left").drop("_salt")
-
-
 def corr_spearman(
-    df: DataFrame,
-    columns: Sequence[str] | None = None,
-    digits: int = 4,
-    single_task_rows: int | None = None,
+    df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4
 ) -> DataFrame:
     """Rank correlation matrix as rows (x, y, r): average ranks, taken per pair over the rows
     where both sides are present.
 
     Equal rows are first combined with a weight. A column needs one ranking, plus one more for
-    each partner that is missing in rows where the column is present. Up to ``single_task_rows``
-    distinct rows the ranks are windows; beyond, they come from bucketed value counts
-    (``ranking``) and are joined back on the value. Ranks are centred before the sums so that
+    each partner that is missing in rows where the column is present. The values of all rankings
+    form one long table: it is counted, ranked (``ranking``), joined with its ranks and brought
+    back to rows once, whatever the number of columns. Ranks are centred before the sums so that
     large ranks keep precision.
     """
     columns = present(df, CORRELATED) if columns is None else list(columns)
-    limit = ranking.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     numbers = df.select(*[as_number(c).alias(c) for c in columns])
-    rows = materialise(
-        numbers.groupBy(*columns).agg(F.count(F.lit(1)).alias("_weight")), "weighted-rows"
-    )
+    rows = numbers.groupBy(*columns).agg(F.count(F.lit(1)).alias("_weight"))
+    rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "weighted-rows")
     pairs = list(combinations_with_replacement(range(len(columns)), 2))
 
     def both(i: int, j: int) -> str:
         return _both(columns[i], columns[j])
 
+    # one row of numbers of rows per pair
     sizes = rows.agg(
-        F.count(F.lit(1)).alias("rows"),
         *[
             F.expr(f"coalesce(sum(CASE WHEN {both(i, j)} THEN _weight END), 0) AS n_{i}_{j}")
             for i, j in pairs
@@ -248,63 +223,41 @@ def corr_spearman(
         for a, b in pairs
         for i, j in ((a, b), (b, a))
     }
-    if sizes["rows"] <= limit:
-        ranked = rows.withColumns({n: _window_rank(c, mask) for n, (c, mask) in masks.items()})
-    else:
-        ranked = _add_bucket_ranks(rows, masks, sizes["rows"], limit)
+    ranked = _average_ranks(rows, masks)
 
     def pair(i: int, j: int) -> str:
         middle = (size(i, j) + 1) / 2
         x, y = f"({rank_name(i, j)} - {middle!r}D)", f"({rank_name(j, i)} - {middle!r}D)"
 
         def total(product: str) -> str:
-            return f"sum(CASE WHEN {both(i, j)} THEN _weight * {product} END)"
+            return f"sum(_weight * {product})"  # null where a side has no rank
 
-        spread = f"sqrt({total(f'{x} * {x}')}) * sqrt({total(f'{y} * {y}')})"
+        def over_both(z: str) -> str:
+            return f"sum(CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN _weight * {z} * {z} END)"
+
+        spread = f"sqrt({over_both(x)}) * sqrt({over_both(y)})"
         return f"try_divide({total(f'{x} * {y}')}, {spread})"
 
     wanted = [F.expr(f"{pair(i, j)} AS r_{i}_{j}") for i, j in pairs]
     return _pairs_to_matrix(ranked.agg(*wanted), columns, digits)
 
 
-def _window_rank(column: str, mask: Column) -> Column:
-    """Average rank of weighted rows among the rows of ``mask``, in one task."""
-    by_value = Window.partitionBy(mask).orderBy(column)
-    up_to = F.sum("_weight").over(by_value.rangeBetween(Window.unboundedPreceding, 0))
-    ties = F.sum("_weight").over(by_value.rangeBetween(0, 0))
-    return F.when(mask, up_to - ties + (ties + 1) / 2)
-
-
-def _add_bucket_ranks(
-    rows: DataFrame, masks: Mapping[str, tuple[str, Column]], total: int, limit: int
-) -> DataFrame:
-    """Average ranks of every ranking, from the value counts of all rankings in one table."""
+def _average_ranks(rows: DataFrame, masks: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """``_weight`` and a column per ranking: its average rank, null outside its mask."""
     entries = [
         F.struct(F.lit(name).alias("_ranking"), F.when(mask, F.col(column)).alias("_value"))
         for name, (column, mask) in masks.items()
     ]
-    values = materialise(
-        rows.select("_weight", F.inline(F.array(*entries)))
-        .where("_value is not null")
-        .groupBy("_ranking", "_value")
-        .agg(F.sum("_weight").alias("_n"), F.count(F.lit(1)).alias("_rows")),
-        "value-counts",
+    long = rows.select("_row", "_weight", F.inline(F.array(*entries))).where("_value is not null")
+    counts = long.groupBy("_ranking", "_value").agg(F.sum("_weight").alias("_n"))
+    ranks = ranking.running_positions(counts, "_value", "_n", by="_ranking").select(
+        "_ranking", "_value", (F.col("before") + (F.col("_n") + 1) / 2).alias("_rank")
     )
-    # fewer than HOT_SHARE values of a ranking can each hold more than 1/HOT_SHARE of the rows
-    heavy = values.where(F.col("_rows") > max(total / HOT_SHARE, HOT_ROWS))
-    hot: dict[str, list[float]] = {}
-    for row in heavy.select("_ranking", "_value").collect():
-        hot.setdefault(row["_ranking"], []).append(row["_value"])
-    placed = ranking.running_positions(
-        values, "_value", "_n", by="_ranking", single_task_rows=limit, stored=True
-    )
-    ranks = materialise(
-        placed.select(
-            "_ranking", "_value", (F.col("before") + (F.col("_n") + 1) / 2).alias("_rank")
-        ),
-        "value-ranks",
+    return (
+        long.join(ranks, ["_ranking", "_value"])
+        .groupBy("_row")
+        .agg(
+            F.max("_weight").alias("_weight"),
+            *[F.max(F.when(F.col("_ranking") == n, F.col("_rank"))).alias(n) for n in masks],
+        )
     )
-    for name, (column, _) in masks.items():
-        own = ranks.where(F.col("_ranking") == name).select(F.col("_value").alias(column), "_rank")
-        rows = _join_ranks(rows, own, column, name, hot.get(name, []))
-    return rows

@@ -44,7 +44,6 @@ RATE_COLUMNS = (
 )
 GAPPY_COLUMNS = ("new_cases", "new_deaths", "total_cases", "population")
 MIN_CASES = 50_000
-BUCKETED_ABOVE = 20_000  # small enough that the test tables take the bucketed way
 PANEL_SCHEMA = (
     "country_id int, date date, new_cases double, new_deaths double, country string, "
     "region string, total_cases double, total_deaths double, population long, "
@@ -396,11 +395,7 @@ def a1_describe_plus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a1_describe_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Quantiles from distributed value counts, as for inputs of any size."""
-    lines = _table(spark, sf, "lineitem")
-    return stats.describe_plus(
-        lines, LINE_COLUMNS, method="distributed", single_task_rows=BUCKETED_ABOVE
-    )
+    return stats.describe_plus(_table(spark, sf, "lineitem"), LINE_COLUMNS)
 
 
 def a2_corr_pearson(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,10 +412,7 @@ def a3_corr_spearman(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a3_corr_spearman_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranks from bucketed value counts, as for inputs of any size."""
-    return stats.corr_spearman(
-        _table(spark, sf, "lineitem"), LINE_COLUMNS, single_task_rows=BUCKETED_ABOVE
-    )
+    return stats.corr_spearman(_table(spark, sf, "lineitem"), LINE_COLUMNS)
 
 
 def a4_series_rolling(spark: SparkSession, sf: str) -> DataFrame:
@@ -467,10 +459,10 @@ def d2_latest_per_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def global_ranks_customers(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranks of all customers by balance, from bucketed value counts."""
+    """Ranks of all customers by balance."""
     customers = _table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     ranks = {"dense": ("c_acctbal", "dense"), "rank": ("c_acctbal", "min")}
-    return ranking.global_ranks(customers, ranks, single_task_rows=500)
+    return ranking.global_ranks(customers, ranks)
 
 
 def on_features(operator: Callable[..., DataFrame], **parameters) -> Query:

@@ -22,7 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster is a cluster
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="panelkit-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelkit.operators import cleaning, explore, features, latest, quality
+from panelkit.operators import cleaning, explore, features, latest, quality, stats
 from panelkit.plans import binding, suite
 from panelkit.plans.model import VIEW_NAMES, run_query, run_sql_suite
 
@@ -96,6 +96,18 @@ def test_bucketed_facts_need_no_shuffle(spark):
         spark.sql(f"DROP TABLE {names[name]}")
 
 
+def test_rank_correlation_shuffles_do_not_grow_with_the_columns(spark):
+    def exchanges(n: int, rows: int) -> int:
+        gappy = [
+            F.when(F.col("id") % (i + 2) > 0, F.col("id") * (i + 1) % 97).cast("double").alias(f"c{i}")
+            for i in range(n)
+        ]
+        df = spark.range(rows).select(*gappy)
+        return plan(stats.corr_spearman(df, df.columns)).count("Exchange ")
+
+    assert exchanges(8, 100) == exchanges(2, 100) == exchanges(2, 100_000)
+
+
 def test_row_count_reads_no_columns(spark):
     lines = binding.table(spark, SF_DIR, "lineitem").agg(F.count(F.lit(1)))
     assert "ReadSchema: struct<>" in plan(lines)

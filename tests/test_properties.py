@@ -104,22 +104,28 @@ def long_tail(spark, n=4000, seed=3):
     return spark.createDataFrame(rows + [(n, None)], "i int, v double").repartition(6)
 
 
-@pytest.mark.parametrize("limit", [10, 1000, 100_000])
-def test_ranks_do_not_depend_on_the_way(spark, limit):
-    df = long_tail(spark)
-    ranked = ranking.global_ranks(
-        df, {"dense": ("v", "dense"), "least": ("v", "min")}, single_task_rows=limit
-    ).toPandas()
+@pytest.fixture(params=["true", "false"], ids=["merged", "many"])
+def buckets(spark, request):
+    """Small partitions merged into one bucket, or left as they are."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_ranks_do_not_depend_on_the_buckets(spark, buckets):
+    ranks = {"dense": ("v", "dense"), "least": ("v", "min")}
+    ranked = ranking.global_ranks(long_tail(spark), ranks).toPandas()
     expected_dense = ranked["v"].rank(method="dense", ascending=False, na_option="bottom")
     expected_least = ranked["v"].rank(method="min", ascending=False, na_option="bottom")
     assert (ranked["dense"] == expected_dense).all() and (ranked["least"] == expected_least).all()
 
 
-@pytest.mark.parametrize("limit", [10, 100_000])
-def test_quantiles_are_exact(spark, limit):
+def test_quantiles_are_exact(spark, buckets):
     df = long_tail(spark).select(F.lit("m").alias("metric"), "v")
     counts = ranking.value_counts(df, "v", "metric")
-    got = ranking.exact_quantiles(counts, "v", [0, 0.01, 0.25, 0.5, 0.9, 0.999, 1], "metric", limit)
+    got = ranking.exact_quantiles(counts, "v", [0, 0.01, 0.25, 0.5, 0.9, 0.999, 1], "metric")
     data = df.toPandas()["v"].dropna()
     for row in got.collect():
         assert row["value"] == pytest.approx(data.quantile(row["probability"]), abs=1e-12)
@@ -132,26 +138,20 @@ def test_quantiles_of_nothing(spark):
     assert stats.describe_plus(empty, ["v"], method="distributed").count() == 0
 
 
-def test_row_numbers_are_consecutive_and_ordered(spark):
+def test_row_numbers_are_consecutive_and_ordered(spark, buckets):
     names = [f"name {i:05d}" for i in range(3000)]
     df = spark.createDataFrame([(n,) for n in names], ["name"]).repartition(5)
-    keep = ranking.SINGLE_TASK_ROWS
-    ranking.SINGLE_TASK_ROWS = 50
-    try:
-        got = ranking.number_rows(df, "name", "id").orderBy("name").collect()
-    finally:
-        ranking.SINGLE_TASK_ROWS = keep
+    got = ranking.number_rows(df, "name", "id").orderBy("name").collect()
     assert [r["id"] for r in got] == list(range(1, 3001))
 
 
-def test_splits_exist_for_other_types(spark):
+def test_positions_of_other_types(spark, buckets):
     dates = spark.range(3000).select(F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("d"))
-    placed = ranking.running_positions(dates, "d", single_task_rows=10).collect()
+    placed = ranking.running_positions(dates, "d").collect()
     assert all((r["d"] - DAY).days == r["position"] for r in placed)
 
 
-@pytest.mark.parametrize("limit", [5, 100_000])
-def test_rank_correlation_equals_brute_force(spark, limit):
+def test_rank_correlation_equals_brute_force(spark, buckets):
     rng = random.Random(5)
     rows = [
         (
@@ -163,7 +163,7 @@ def test_rank_correlation_equals_brute_force(spark, limit):
     ]
     df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
     got = {(r["x"], r["y"]): r["r"] for r in
-           stats.corr_spearman(df, ["a", "b", "c"], single_task_rows=limit).collect()}
+           stats.corr_spearman(df, ["a", "b", "c"]).collect()}
     data = df.toPandas()
     for x in "abc":
         for y in "abc":
@@ -172,20 +172,20 @@ def test_rank_correlation_equals_brute_force(spark, limit):
             assert got[x, y] == pytest.approx(expected, abs=1e-4)
 
 
-def test_hot_values_are_salted(spark, monkeypatch):
-    monkeypatch.setattr(stats, "HOT_ROWS", 20)
+def test_a_hot_value_in_a_rank_correlation(spark, buckets):
     df = long_tail(spark).select("v", F.col("i").cast("double").alias("i"))
-    plain = stats.corr_spearman(df, ["v", "i"]).collect()
-    salted = stats.corr_spearman(df, ["v", "i"], single_task_rows=10).collect()
-    assert plain == salted
+    got = {(r["x"], r["y"]): r["r"] for r in stats.corr_spearman(df, ["v", "i"]).collect()}
+    pair = df.toPandas().dropna()
+    expected = np.corrcoef(pair["v"].rank(), pair["i"].rank())[0, 1]
+    assert got["v", "i"] == pytest.approx(expected, abs=1e-4)
 
 
 @pytest.mark.parametrize("method", ["exact", "distributed"])
-def test_describe_methods_agree(spark, method):
+def test_describe_methods_agree(spark, method, buckets):
     extra = {"empty": F.lit(None).cast("double"), "constant": F.lit(2.0)}
     df, columns = long_tail(spark).withColumns(extra), ["v", "empty", "constant"]
-    got = stats.describe_plus(df, columns, method=method, single_task_rows=100)
-    reference = stats.describe_plus(df, columns)
+    got = stats.describe_plus(df, columns, method=method)
+    reference = stats.describe_plus(df, columns, method="exact")
     assert canonical(got.toPandas()) == canonical(reference.toPandas())
     assert got.count() == 2, "columns without values are left out"
 
