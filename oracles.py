@@ -301,7 +301,7 @@ def _filled(c: str, kind: str) -> str:
 
 
 def _coerced(rule: str) -> str:
-    return f"""SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL
+    return f"""SELECT c_custkey, CASE WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN NULL
       WHEN c_acctbal < 0 THEN {rule} ELSE c_acctbal END AS new_balance, c_acctbal AS balance
       FROM customer"""
 
@@ -380,7 +380,7 @@ def ingestion() -> dict[str, str]:
 def cleaning() -> dict[str, str]:
     segment = """CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'HOME' WHEN 'MACHINERY' THEN 'INDUSTRY'
       WHEN 'AUTOMOBILE' THEN 'INDUSTRY' ELSE c_mktsegment END"""
-    parsed = "CASE WHEN o_orderkey % 4 < 3 THEN CAST(o_orderdate AS DATE) END AS date"
+    parsed = "CASE WHEN o_orderkey % 8 < 7 THEN CAST(o_orderdate AS DATE) END AS date"
     counters = ("total_cases", "total_deaths", "people_vaccinated", "people_fully_vaccinated")
     return {
         "c1_snake_case_columns": """SELECT c_custkey AS customer_key, c_name AS customer_name,
@@ -391,7 +391,7 @@ def cleaning() -> dict[str, str]:
           count(*) FILTER (WHERE {segment} <> c_mktsegment) AS renamed FROM customer GROUP BY 1""",
         "c3_drop_aggregate_entities": """SELECT c_custkey, c_mktsegment FROM customer
           WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN ('BUILDING', 'FURNITURE')""",
-        "c4_parse_dates": f"SELECT o_orderkey, {parsed} FROM orders WHERE o_orderkey % 4 < 3",
+        "c4_parse_dates": f"SELECT o_orderkey, {parsed} FROM orders WHERE o_orderkey % 8 < 7",
         "c4_parse_dates_keep_invalid": f"SELECT o_orderkey, {parsed} FROM orders",
         "c5_dedupe_keep": _kept("DESC"),
         "c5_dedupe_keep_first": _kept("ASC"),
@@ -746,9 +746,9 @@ def charts() -> dict[str, str]:
           FROM features GROUP BY country HAVING max(total_cases) >= {MIN_CASES}
           ORDER BY case_fatality_rate DESC NULLS LAST, country LIMIT 15""",
         "f8_chart_vax_coverage": f"""WITH {PANEL} SELECT date,
-          CAST(sum(people_vaccinated) AS BIGINT) AS people_vaccinated,
-          CAST(sum(people_fully_vaccinated) AS BIGINT) AS people_fully_vaccinated,
-          CAST(sum(population) AS BIGINT) AS population
+          CAST(coalesce(sum(people_vaccinated), 0) AS BIGINT) AS people_vaccinated,
+          CAST(coalesce(sum(people_fully_vaccinated), 0) AS BIGINT) AS people_fully_vaccinated,
+          CAST(coalesce(sum(population), 0) AS BIGINT) AS population
           FROM panel WHERE date >= DATE '1997-01-01' GROUP BY date""",
         "f9_chart_cases_100k": leaders("cases_per_100k"),
         "f10_chart_deaths_100k": leaders("deaths_per_100k"),

@@ -2,6 +2,7 @@ from panelkit.functions.dates import DATE_FORMATS, month_of, parse_date
 from panelkit.functions.names import snake_case, strip_blank
 from panelkit.functions.numbers import (
     as_number,
+    number_from_text,
     coverage_pct,
     per_capita,
     ratio,
@@ -15,6 +16,7 @@ __all__ = [
     "as_number",
     "coverage_pct",
     "month_of",
+    "number_from_text",
     "parse_date",
     "per_capita",
     "ratio",

@@ -14,6 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_DECIMAL = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -34,6 +37,12 @@ def as_number(c: Column | str) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def number_from_text(c: Column | str) -> Column:
+    """Double from text that is a decimal number, white space around it ignored. All else is null,
+    also what only a cast takes for a number (``1d``, ``1.5f``, names of infinity)."""
+    return F.when(_col(c).rlike(_DECIMAL), as_number(c))
+
+
 def ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:
     """``numerator * scale / denominator``; null when the denominator is 0 or null."""
     return F.try_divide(numerator * F.lit(scale), denominator)

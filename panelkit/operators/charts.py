@@ -85,7 +85,7 @@ def coverage_over_time(df: DataFrame, since: str = "2020-12-01") -> DataFrame:
         .agg(
             _total("people_vaccinated"),
             _total("people_fully_vaccinated"),
-            F.sum("population").alias("population"),
+            _total("population"),
         )
     )
 

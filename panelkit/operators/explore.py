@@ -108,13 +108,17 @@ def kpis(latest: DataFrame) -> DataFrame:
     )
 
 
+def _total(c: str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0))
+
+
 def daily_filtered(df: DataFrame) -> DataFrame:
-    """Per date: total flows, and totals of the rolling means in their two decimals."""
+    """Per date: total flows, and totals of the rolling means in their two decimals; 0 without any."""
     return df.where(F.col("date").isNotNull()).groupBy("date").agg(
-        F.sum("new_cases").alias("new_cases"),
-        F.sum("new_deaths").alias("new_deaths"),
-        round_even(F.sum("7_day_cases_avg"), 2).alias("7_day_cases_avg"),
-        round_even(F.sum("7_day_deaths_avg"), 2).alias("7_day_deaths_avg"),
+        _total("new_cases").alias("new_cases"),
+        _total("new_deaths").alias("new_deaths"),
+        round_even(_total("7_day_cases_avg"), 2).alias("7_day_cases_avg"),
+        round_even(_total("7_day_deaths_avg"), 2).alias("7_day_deaths_avg"),
     )
 
 

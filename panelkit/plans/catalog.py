@@ -165,13 +165,19 @@ def c3_drop_aggregate_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
-    kind, day = F.col("o_orderkey") % 4, F.col("o_orderdate")
-    text = (
-        F.when(kind == 0, F.date_format(day, "yyyy-MM-dd"))
-        .when(kind == 1, F.date_format(day, "MM/dd/yyyy"))
-        .when(kind == 2, F.date_format(day, "MMM d, yyyy"))
-        .otherwise("bad")
+    kind, day = F.col("o_orderkey") % 8, F.col("o_orderdate")
+    layouts = (
+        "yyyy-MM-dd",
+        "MM/dd/yyyy",
+        "MMM d, yyyy",
+        "yyyy-MM-dd HH:mm:ss",
+        "yyyy-MM-dd'T10:00:00Z'",
+        "MMMM d, yyyy",
+        "'\t'd MMM yyyy' \t'",
     )
+    text = F.lit("bad")
+    for i, layout in enumerate(layouts):
+        text = F.when(kind == i, F.date_format(day, layout)).otherwise(text)
     return _table(spark, sf, "orders").select("o_orderkey", text.alias("date"))
 
 
@@ -205,7 +211,9 @@ def c5_dedupe_whole_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _balances(spark: SparkSession, sf: str) -> DataFrame:
     balance = F.col("c_acctbal")
-    text = F.when(F.col("c_mktsegment") == "BUILDING", "?").otherwise(balance.cast("string"))
+    plain, segment = balance.cast("string"), F.col("c_mktsegment")
+    text = F.when(segment == "BUILDING", "?").when(segment == "FURNITURE", F.concat(plain, F.lit("d")))
+    text = text.otherwise(F.concat(F.lit(" "), plain, F.lit("\t")))
     return _table(spark, sf, "customer").select(
         "c_custkey",
         text.alias("new_balance"),

@@ -255,3 +255,22 @@ def test_rows_without_a_key_form_no_group(spark):
         assert chart(both).count() == chart(df).count()
     assert explore.latest_per_entity(both).count() == 2
     assert explore.kpis(explore.latest_per_entity(both)).first()["entities"] == 2
+
+
+def test_dates_with_time_month_names_and_blanks(spark):
+    texts = [
+        "2021-01-02 00:00:00", "2021-01-02T10:00:00Z", "2021-1-2T10:00+02:00", "January 2, 2021",
+        "2 Jan 2021", "2 January 2021", "\t2021-01-02\t", "2021-01-02 25:00:00", "2021-01-02x",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r["v"] for r in rows.select("i", parse_date("t").alias("v")).orderBy("i").collect()]
+    assert [str(d) for d in got] == ["2021-01-02"] * 7 + ["None"] * 2
+
+
+def test_only_decimal_text_is_a_number(spark):
+    from panelkit.operators import cleaning
+
+    texts = ["1d", "1.5f", "inf", "NaN", "", "1e3", " -2.5\t", ".5", "7."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, new_x string")
+    got = cleaning.coerce_numeric(rows, ["new_x"], "keep").orderBy("i").collect()
+    assert [r["new_x"] for r in got] == [None] * 5 + [1000.0, -2.5, 0.5, 7.0]
