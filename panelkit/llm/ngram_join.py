@@ -378,8 +378,7 @@ def near_duplicates(
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = materialise(entries.join(shared, "key"), "ngram-groups")
     sketches = rows.select(F.col("row").alias("node"), "sketch")
-    links = all_links(docs, nodes, met, sketches, id_column, text_column, percent, n_words)
-    found = components(links)
+    found = linked_components(docs, nodes, met, sketches, id_column, text_column, percent, n_words)
     named = found.join(reps.select("node", "rep_id"), "node")
     first = F.min(F.struct(F.col("rep_id").isNull(), "rep_id", "node")).alias("first")
     labels = named.join(named.groupBy("component").agg(first), "component").select("node", "first")
@@ -428,7 +427,7 @@ def families(met: DataFrame, sketches: DataFrame) -> DataFrame:
     )
 
 
-def all_links(
+def linked_components(
     docs: DataFrame,
     nodes: DataFrame,
     met: DataFrame,
@@ -438,7 +437,7 @@ def all_links(
     percent: int,
     n_words: int,
 ) -> DataFrame:
-    """Links a, b that connect whatever is linked: all of small groups, enough of families."""
+    """node, component of whatever is linked, by all links of small groups and enough of families."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in _whole_groups(batches, ["key"]):
@@ -465,8 +464,8 @@ def all_links(
     done = materialise(verified_pairs(pairs, sets_of(pairs), percent), "ngram-verified")
     crowded = materialise(families(met, sketches), "ngram-crowded")
     budgets = [0, 0, 2]  # two spanning forests, then what is left
+    labels = components(done.filter("linked").select("a", "b"))
     while not crowded.isEmpty():
-        labels = components(done.filter("linked").select("a", "b"))
         no = done.filter(~F.col("linked")).groupBy(F.col("a").alias("node")).agg(
             F.collect_set("b").alias("refuted")
         )
@@ -495,11 +494,13 @@ def all_links(
         pairs, n = materialise_counted(by_group.mapInArrow(compared, schema), "ngram-pairs")
         if not n:
             break
-        known = verified_groups(pairs, sets_of(pairs), percent)
-        done = materialise(done.unionByName(known).distinct(), "ngram-verified")
+        known = materialise(verified_groups(pairs, sets_of(pairs), percent).distinct(), "ngram-verified")
+        done = done.unionByName(known)
+        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = components(stars.unionByName(known.filter("linked").select("a", "b")))
         if len(budgets) == 1:
             budgets[0] *= 4
-    return done.filter("linked").select("a", "b")
+    return labels
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:

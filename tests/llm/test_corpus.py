@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from panelkit.llm import (
+    components,
     exact_dedup,
     language_id,
     license_scan,
@@ -295,3 +296,17 @@ def test_pipeline(spark):
     assert mixed.columns == docs.columns
     packed = corpus_pipeline.run(spark, SMALL).toPandas()
     assert packed.words.sum() == taken
+
+
+def test_components(spark):
+    random_ = random.Random(4)
+    links = [(random_.randrange(60), random_.randrange(60)) for _ in range(35)]
+    links += [(i, i + 1) for i in range(100, 140)] + [(200, x) for x in range(201, 230)] + [(300, 300)]
+    low = {x: x for pair in links if pair[0] != pair[1] for x in pair}
+    for _ in low:
+        for a, b in links:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node: r.component for r in found} == low and len(found) == len(low)
+    assert components.components(spark.createDataFrame([], "a long, b long")).isEmpty()
