@@ -17,7 +17,7 @@ Verification. Sets that meet under a key are first compared by size and by parit
 distance never exceeds that of the sets, so that no pair is lost. The few members of a small group
 give all their pairs. Crowded keys mostly come from one large family of copies and bring the same
 sets together again and again, so sets that crowded keys connect are compared once, as a family, in
-blocks. Of the pairs left in a family only some between any two components are verified, more in
+blocks; small groups leave the pairs of one family to that. Of the pairs left in a family only some between any two components are verified, more in
 each round, until all pairs are linked, refuted, or within one component. Verified are the full
 sets. Documents with equal sets are one node throughout.
 """
@@ -238,15 +238,19 @@ def candidates(group: pd.DataFrame, percent: int, budget: int) -> list[tuple[int
 
 
 def listed_pairs(frame: pd.DataFrame, percent: int) -> np.ndarray:
-    """All pairs of members of one key whose sizes can link; ``frame`` is sorted by key."""
-    key, node, n = (frame[c].to_numpy() for c in ("key", "node", "n"))
+    """All pairs of members of one key whose sizes can link, but for those of one family.
+
+    ``frame`` is sorted by key; a set outside of families has -1 for its family.
+    """
+    key, node, n, family = (frame[c].to_numpy() for c in ("key", "node", "n", "family"))
     pairs = [np.zeros((0, 2), np.int64)]
     for apart in range(1, min(SMALL, len(key))):
         at = np.flatnonzero(key[apart:] == key[:-apart])
         if not len(at):
             break
         low, high = np.minimum(n[at], n[at + apart]), np.maximum(n[at], n[at + apart])
-        at = at[100 * low >= percent * high]
+        others = (family[at] != family[at + apart]) | (family[at] < 0)
+        at = at[(100 * low >= percent * high) & others]
         pairs.append(np.sort(np.stack([node[at], node[at + apart]], axis=1), axis=1))
     return np.unique(np.concatenate(pairs), axis=0)
 
@@ -396,17 +400,22 @@ def near_duplicates(
     )
 
 
-def families(met: DataFrame, sketches: DataFrame) -> DataFrame:
-    """group, i, j, block, node, n, sketch: the sets that crowded keys connect, by pairs of blocks."""
-    crowded = met.filter(F.col("members") > SMALL).select("key", "node", "n", "members")
+def family_members(met: DataFrame) -> DataFrame:
+    """node, family, size: the sets that crowded keys connect, stored."""
+    crowded = met.filter(F.col("members") > SMALL).select("key", "node")
     ties = crowded.join(crowded.groupBy("key").agg(F.min("node").alias("low")), "key")
     family = components(ties.select(F.col("low").alias("a"), F.col("node").alias("b")))
-    family = materialise(family.withColumnRenamed("component", "family"), "ngram-families")
+    family = family.withColumnRenamed("component", "family")
     sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
-    sized = family.join(sizes, "family")
-    whole = sized.filter(F.col("size") <= FAMILY).select("node", F.col("family").alias("group"), "size")
-    whole = whole.join(met.select("node", "n").distinct(), "node")
-    by_key = crowded.join(sized.filter(F.col("size") > FAMILY).select("node"), "node", "left_semi")
+    return materialise(family.join(sizes, "family"), "ngram-families")
+
+
+def families(met: DataFrame, members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """group, i, j, block, node, n, sketch: the members of families by pairs of blocks."""
+    crowded = met.filter(F.col("members") > SMALL).select("key", "node", "n", "members")
+    whole = members.filter(F.col("size") <= FAMILY).select("node", F.col("family").alias("group"), "size")
+    whole = whole.join(crowded.select("node", "n").distinct(), "node")
+    by_key = crowded.join(members.filter(F.col("size") > FAMILY).select("node"), "node", "left_semi")
     groups = whole.select("group", "node", "n", "size").unionByName(
         by_key.select(F.col("key").alias("group"), "node", "n", F.col("members").alias("size"))
     )
@@ -454,7 +463,13 @@ def linked_components(
     def sets_of(pairs: DataFrame) -> DataFrame:
         return full_sets(docs, nodes, ends(pairs), id_column, text_column, n_words)
 
-    few = met.filter(F.col("members") <= SMALL).select("key", "node", "n")
+    members = family_members(met)
+    own = members.filter(F.col("size") <= FAMILY).select("node", "family")
+    few = (
+        met.filter(F.col("members") <= SMALL)
+        .join(own, "node", "left")
+        .select("key", "node", "n", F.coalesce("family", F.lit(-1)).alias("family"))
+    )
     pairs = few.repartition("key").sortWithinPartitions("key").mapInArrow(listed, PAIRS).distinct()
     sized = sketches.join(nodes.select("node", "n"), "node")
     left = sized.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
@@ -462,7 +477,7 @@ def linked_components(
     pairs = pairs.join(left, "a").join(right, "b").mapInArrow(likely, PAIRS)
     pairs = materialise(pairs, "ngram-pairs")
     done = materialise(verified_pairs(pairs, sets_of(pairs), percent), "ngram-verified")
-    crowded = materialise(families(met, sketches), "ngram-crowded")
+    crowded = materialise(families(met, members, sketches), "ngram-crowded")
     budgets = [0, 0, 2]  # two spanning forests, then what is left
     labels = components(done.filter("linked").select("a", "b"))
     while not crowded.isEmpty():
