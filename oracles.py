@@ -363,9 +363,14 @@ def ingestion() -> dict[str, str]:
         "i1_read_csv_gz": f"""WITH {PANEL} SELECT country, date,
           CAST(total_cases AS BIGINT) AS total_cases FROM panel""",
         "i1_read_csv_batches": f"WITH {PANEL} SELECT country, date, new_deaths FROM panel",
-        "i2_validate_columns": f"""SELECT 'FAIL' AS status, 11 AS total_columns_found,
+        "i2_validate_columns": f"""WITH {PANEL}
+          SELECT 'FAIL' AS status, 11 AS total_columns_found,
           9 AS required_columns_count, 'continent,iso_code,location' AS missing_columns,
-          '{required}' AS present_required_columns""",
+          '{required}' AS present_required_columns, count(*) AS row_count,
+          count(*) FILTER (date IS NULL) + count(*) FILTER (total_cases IS NULL)
+          + count(*) FILTER (new_cases IS NULL) + count(*) FILTER (total_deaths IS NULL)
+          + count(*) FILTER (new_deaths IS NULL) + count(*) FILTER (population IS NULL)
+          AS null_count FROM panel""",
         "i3_profile": f"WITH {GAPPY} {_profile('gappy', PANEL_COLUMNS)}",
         "i3_profile_documents": _profile("documents", documents),
         "i3_row_count": "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem",

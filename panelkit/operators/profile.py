@@ -42,6 +42,27 @@ def validate_columns(
     )
 
 
+def validate_feed(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """``validate_columns`` with the number of rows and of nulls in the present required columns.
+
+    One pass that reads only these columns.
+    """
+    names = set(df.columns)
+    missing, found = sorted(set(required) - names), sorted(set(required) & names)
+    rows = F.count(F.lit(1))
+    nulls = sum((rows - F.count(c) for c in found), F.lit(0).cast("long"))
+    texts = "array<string>"
+    return df.agg(rows.alias("row_count"), nulls.alias("null_count")).select(
+        F.lit("FAIL" if missing else "PASS").alias("status"),
+        F.lit(len(names)).alias("total_columns_found"),
+        F.lit(len(required)).alias("required_columns_count"),
+        F.array(*map(F.lit, missing)).cast(texts).alias("missing_columns"),
+        F.array(*map(F.lit, found)).cast(texts).alias("present_required_columns"),
+        "row_count",
+        "null_count",
+    )
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row per column: position, type, row count, null count and percentage, most-null first
     when sorted by ``null_pct``. One pass over the data."""

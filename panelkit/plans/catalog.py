@@ -105,7 +105,7 @@ def i1_read_csv_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def i2_validate_columns(spark: SparkSession, sf: str) -> DataFrame:
-    checked = profile.validate_columns(_panel(spark, sf))
+    checked = profile.validate_feed(_panel(spark, sf))
     lists = ("missing_columns", "present_required_columns")
     return checked.withColumns({c: F.array_join(c, ",") for c in lists})
 
