@@ -1,11 +1,14 @@
 """License scans: phrases in a row, and an exact set-similarity join with license templates.
 
-A text block (a line) belongs to a template when at least ``containment`` of the template's
-distinct words stand in it. Words of the templates are ordered by their frequency in the whole
-corpus, rare ones first. A block that holds ``need`` of a template's ``size`` words holds one of
-its first ``size - need + 1``: only these are indexed. A block that shares an indexed word is
-kept when it has enough template words at all (length) and enough can still follow the shared
-ones (position), and only then is the overlap counted. No pair that meets the threshold is lost.
+A text belongs to a template when at least ``containment`` of the template's distinct words stand
+in one window of its words, wherever lines break. A window is as wide as the template with so many
+foreign words that the template still makes up ``containment`` of it. The word sequence is cut into
+blocks that overlap so far that every window lies in one of them. Words of the templates are
+ordered by their frequency in the whole corpus, rare ones first. A window that holds ``need`` of a
+template's ``size`` words holds one of its first ``size - need + 1``: only these are indexed. A
+block that shares an indexed word is kept when it has enough template words at all (length) and
+enough can still follow the shared ones (position), and only then is the overlap counted in each
+of its windows. No window that meets the threshold is lost.
 """
 
 from __future__ import annotations
@@ -123,23 +126,33 @@ def license_scan(
     order = word_order(docs, text_column, sorted(set().union(*sets)))
     rank = {word: i for i, word in enumerate(order)}
     index = []
-    for number, (members, (_, label)) in enumerate(zip(sets, templates)):
+    widths = [math.ceil(len(words.split()) / containment - 1e-9) for words, _ in templates]
+    widest = max(widths, default=1)
+    for number, (members, width, (_, label)) in enumerate(zip(sets, widths, templates)):
         members = sorted(members, key=rank.__getitem__)
         need = math.ceil(containment * len(members) - 1e-9)
         for at, word in enumerate(members[: len(members) - need + 1]):
-            index.append((word, number, label, at, len(members), need, members))
+            index.append((word, number, label, at, len(members), need, width, members))
     indexed = spark.createDataFrame(
         index,
-        "word string, template int, label string, at int, size int, need int, members array<string>",
+        "word string, template int, label string, at int, size int, need int, width int, "
+        "members array<string>",
     )
     starters = _literal(sorted({row[0] for row in index}, key=rank.__getitem__))
 
-    def block_words(line: Column) -> Column:
-        """The template words of a block, rare ones first."""
-        return F.array_intersect(_literal(order), scan_words(line))
+    def blocks(words: Column) -> Column:
+        """Overlapping pieces of the words: each window of at most ``widest`` words is in one."""
+        starts = F.sequence(F.lit(1), F.size(words), F.lit(widest))
+        pieces = F.transform(starts, lambda i: F.slice(words, i, 2 * widest - 1))
+        return F.filter(pieces, lambda piece: F.arrays_overlap(piece, starters))
 
-    def blocks(text: Column) -> Column:
-        return F.filter(F.transform(F.split(text, "\n"), block_words), lambda b: F.arrays_overlap(b, starters))
+    def most_held(words: Column) -> Column:
+        """The most words of the template in one of the block's windows."""
+
+        def held_from(i: Column) -> Column:
+            return F.size(F.array_intersect(F.slice(words, i, F.col("width")), "members"))
+
+        return F.array_max(F.transform(F.sequence(F.lit(1), F.size(words)), held_from))
 
     text = F.col("text")
     scanned = docs.select(
@@ -153,19 +166,20 @@ def license_scan(
             scan_words(text),
             lambda w: F.struct(
                 phrases_found(w, phrases).alias("found"),
-                F.when(F.arrays_overlap(w, starters), blocks(text)).alias("blocks"),
+                F.when(F.arrays_overlap(w, starters), blocks(w)).alias("blocks"),
             ),
         ).alias("scan"),
     )
     held = scanned.select(
-        "row", "id", "scan.found", F.explode_outer("scan.blocks").alias("block")
-    ).select("row", "id", "found", "block", F.posexplode_outer("block").alias("place", "word"))
+        "row", "id", "scan.found", F.explode_outer("scan.blocks").alias("words")
+    ).withColumn("block", F.array_intersect(_literal(order), "words"))
+    held = held.select("*", F.posexplode_outer("block").alias("place", "word"))
     before = F.least("at", "place")
     after = F.least(F.col("size") - F.col("at"), F.size("block") - F.col("place"))
     matched = held.join(F.broadcast(indexed), "word", "left")
     candidate = (F.size("block") >= F.col("need")) & (before + after >= F.col("need"))
-    overlap = F.when(candidate, F.size(F.array_intersect("block", "members")))
-    share = F.when(overlap >= F.col("need"), overlap / F.col("size"))
+    overlap = F.when(candidate, most_held(F.col("words")))
+    share = once(overlap, lambda held: F.when(held >= F.col("need"), held / F.col("size")))
     per_row = (
         matched.select("row", "id", "found", "label", share.alias("share"))
         .groupBy("row")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 import duckdb
@@ -249,6 +250,40 @@ def test_personal_data_patterns_and_terms(spark):
     assert clean[1].startswith("mail [EMAIL][EMAIL], [IP].[IP] and 999")
 
 
+def test_licenses_are_found_across_line_breaks(spark):
+    mit, bsd = license_scan.TEMPLATES[1][0], license_scan.TEMPLATES[-1][0]
+    foreign = [f"w{i}" for i in range(50)]
+    random_ = random.Random(5)
+    texts = {
+        1: "# " + "\n# ".join(textwrap.wrap(mit, 60)),
+        2: " * " + "\n * ".join(textwrap.wrap(bsd, 40)),
+        3: " ".join(foreign).join(mit.split()),
+        4: " ".join(foreign[:33] + mit.split() + foreign),
+        5: "",
+    }
+    for i in range(10, 60):
+        template = random_.choice(license_scan.TEMPLATES)[0].split()
+        words = [w for w in template if random_.random() < 0.95]
+        for _ in range(random_.randrange(9)):
+            words.insert(random_.randrange(len(words) + 1), random_.choice(foreign + template))
+        texts[i] = " ".join(foreign[: random_.randrange(40)]) + " " + "\n".join(words)
+    expected = {}
+    for i, text in texts.items():
+        words = [w for w in re.split("[^a-z0-9]+", text) if w]
+        labels = {label for phrase, label in license_scan.PHRASES if f" {phrase} " in f" {' '.join(words)} "}
+        score = float(bool(labels))
+        for template, label in license_scan.TEMPLATES:
+            members, width = set(template.split()), -(-len(template.split()) * 5 // 4)
+            share = max(len(members & set(words[k : k + width])) for k in range(len(words) + 1)) / len(members)
+            if share >= license_scan.CONTAINMENT:
+                labels, score = labels | {label}, max(score, share)
+        expected[i] = (",".join(sorted(labels)), score)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.id: (r.labels, r.score) for r in license_scan.license_scan(docs).collect()}
+    assert found == expected
+    assert [found[i][0] for i in (1, 2, 3, 4)] == ["mit", "bsd", "", "mit"]
+
+
 def test_mixing_meets_targets_and_reruns_agree(spark):
     rows = queries.op9_source_mixing(spark, SMALL).toPandas()
     again = queries.op9_source_mixing(spark, SMALL).toPandas()
