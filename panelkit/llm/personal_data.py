@@ -1,15 +1,17 @@
 """Personal data: exact patterns, and terms that give protected entities away.
 
 The patterns find addresses and numbers with their places. A protected entity is then one such
-value. For every term in the context of an entity (``CONTEXT`` characters on either side) the
-corpus tells how much it discloses: the pointwise mutual information of term and entity,
+value. For every term of the documents that hold an entity, wherever it stands in them, the corpus
+tells how much it discloses: the pointwise mutual information of term and entity,
 log2(N * n(entity, term) / (n(entity) * n(term))), divided by the information of the entity,
-log2(N / n(entity)). All counts are numbers of documents, n(term) over all of them. A term with
-a share at or above the threshold gives the entity away and becomes a span of kind ``term``:
-from ``REMOVE`` on it is to be removed, below that generalised. What is seen in fewer than
-``SUPPORT`` different texts is no evidence and left alone.
-
-Only contexts and counts travel between tasks, never texts.
+log2(N / n(entity)). All counts are numbers of documents. A term is a run of letters of any script
+outside addresses. A term with a share at or above the threshold gives the entity away, and each
+of its places in a document that holds the entity becomes a span of kind ``term``: from ``REMOVE``
+on it is to be removed, below that generalised. What is seen in fewer than ``SUPPORT`` different
+texts is no evidence and left alone.
+
+Equal texts are looked at once, with the number of their rows as weight. Texts are stored, and
+travel, only where they hold a match.
 """
 
 from __future__ import annotations
@@ -34,8 +36,7 @@ PATTERNS = (
 )
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}  # a character that every match holds
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-TERM = r"[A-Za-zÀ-ɏ]{4,}"
-CONTEXT = 100
+TERM = r"\p{L}{4,}"
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -64,10 +65,9 @@ def _accepted() -> Column:
 
 
 def _pieces(text: Column) -> Column:
-    """All matches of all kinds, in order, each with the text since the last match of its kind.
+    """All matches of all kinds, in order, each with the length of the text since the last one.
 
-    One more entry per kind, without a match, has the text after the last one. Of that text only
-    its length and the ends that are context of a match are kept.
+    One more entry per kind, without a match, has the length of the text after the last one.
     """
 
     def of(kind: int, pattern: str, need: str | None) -> Column:
@@ -78,8 +78,6 @@ def _pieces(text: Column) -> Column:
                 lambda gap, value: F.struct(
                     F.lit(kind).alias("kind"),
                     F.length(gap).cast("long").alias("gap"),
-                    F.left(gap, F.lit(CONTEXT + 1)).alias("head"),
-                    F.right(gap, F.lit(CONTEXT + 1)).alias("tail"),
                     value.alias("value"),
                 ),
             )
@@ -89,7 +87,7 @@ def _pieces(text: Column) -> Column:
             found = F.when(F.contains(text, F.lit(need)), found)
         return once(found, lambda x: F.when(F.size(x) > 0, cut(x)))
 
-    empty = F.array().cast("array<struct<kind:int,gap:bigint,head:string,tail:string,value:string>>")
+    empty = F.array().cast("array<struct<kind:int,gap:bigint,value:string>>")
     return F.concat(
         *(
             F.coalesce(of(kind, pattern, NEEDS.get(name)), empty)
@@ -99,24 +97,34 @@ def _pieces(text: Column) -> Column:
 
 
 def find_pieces(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """row, id, content (hash of the text), and one row per match or one without: stored."""
+    """row, id, content (digest of the text), and one row per match or one without: stored.
+
+    The first row of a document with a match also has its text.
+    """
     found = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_column).alias("id"),
         whole_text(text_column).alias("text"),
     ).select(
-        "row", "id", F.xxhash64("text").alias("content"), F.posexplode_outer(_pieces(F.col("text")))
+        "row",
+        "id",
+        F.unhex(F.sha2("text", 256)).alias("content"),
+        "text",
+        F.posexplode_outer(_pieces(F.col("text"))),
+    )
+    text = F.when(F.col("pos") == 0, F.col("text")).alias("text")
+    return materialise(
+        found.select("row", "id", "content", "pos", text, "col.*"), "personal-data-pieces"
     )
-    return materialise(found.select("row", "id", "content", "pos", "col.*"), "personal-data-pieces")
 
 
 def base_spans(pieces: DataFrame) -> DataFrame:
-    """row, content, kind, start, end, value, and the text before and after it, of each match."""
+    """row, content, kind, start, end and value of each match."""
     order = Window.partitionBy("row", "kind").orderBy("pos")
     placed = (
-        pieces.filter("kind IS NOT NULL")
+        pieces.select("row", "content", "pos", "kind", "gap", "value")
+        .filter("kind IS NOT NULL")
         .withColumn("end", F.sum(F.col("gap") + F.coalesce(F.length("value"), F.lit(0))).over(order))
-        .withColumn("after", F.lead("head").over(order))
     )
     return (
         placed.filter("value IS NOT NULL")
@@ -128,75 +136,129 @@ def base_spans(pieces: DataFrame) -> DataFrame:
             (F.col("end") - F.length("value")).alias("start"),
             "end",
             F.lower("value").alias("value"),
-            F.col("tail").alias("before"),
-            "after",
         )
     )
 
 
-def _terms(context: Column, offset: Column) -> Column:
-    """The words of a context with their places; at most ``CONTEXT`` characters are looked at."""
-
-    def placed(found: Column, gaps: Column) -> Column:
-        def one(word: Column, i: Column) -> Column:
-            before = F.aggregate(
-                F.slice(F.zip_with(gaps, found, lambda g, w: F.length(g) + F.coalesce(F.length(w), F.lit(0))), F.lit(1), i),
-                F.lit(0),
-                lambda total, n: total + n,
-            )
-            start = offset + before + F.length(gaps[i])
-            return F.struct(
-                F.lower(word).alias("term"), start.alias("start"), (start + F.length(word)).alias("end")
-            )
+def _held_terms(text: Column) -> Column:
+    """The different terms of a text, outside its addresses."""
+    address = PATTERNS[0][1]
+    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, address, "@")).otherwise(text)
+    return F.array_distinct(
+        F.transform(F.regexp_extract_all(outside, F.lit(TERM), F.lit(0)), lambda word: F.lower(word))
+    )
 
-        return F.transform(found, one)
 
-    found = F.regexp_extract_all(context, F.lit(TERM), F.lit(0))
-    return once(found, lambda f: once(F.split(context, TERM), lambda g: placed(f, g)))
+def _steps(text: Column) -> Column:
+    """The text as a row of steps: what is skipped (a length), then a term, if one follows."""
+    address = F.lit(PATTERNS[0][1])
 
+    def step(skip: Column, word: Column) -> Column:
+        return F.struct(F.length(skip).cast("long").alias("skip"), word.alias("word"))
 
-def context_terms(base: DataFrame) -> DataFrame:
-    """row, content, kind, value and each term near the value, with its place.
+    def parts(gap: Column, value: Column) -> Column:
+        words = F.regexp_extract_all(gap, F.lit(TERM), F.lit(0))
+        over = step(F.coalesce(value, F.lit("")), F.lit(None).cast("string"))
+        return F.concat(F.zip_with(F.split(gap, TERM), words, step), F.array(over))
 
-    A word that the edge of the context cuts is left out.
-    """
-    letters = r"[A-Za-zÀ-ɏ]"
-    cut_before, cut_after = F.length("before") > CONTEXT, F.length("after") > CONTEXT
-    before = F.when(cut_before, F.regexp_replace("before", f"^{letters}+", "")).otherwise(F.col("before"))
-    after = F.when(cut_after, F.regexp_replace("after", f"{letters}+$", "")).otherwise(F.col("after"))
-    near = F.concat(
-        once(before, lambda text: _terms(text, F.col("start") - F.length(text))),
-        _terms(F.coalesce(after, F.lit("")), F.col("end")),
-    )
-    return base.select("row", "content", "kind", "value", F.explode(near).alias("near")).select(
-        "row", "content", "kind", "value", "near.term", "near.start", "near.end"
-    )
+    gaps = F.split(text, PATTERNS[0][1])
+    return F.flatten(F.zip_with(gaps, F.regexp_extract_all(text, address, F.lit(0)), parts))
 
 
 def term_documents(docs: DataFrame, text_column: str) -> DataFrame:
-    """Number of documents that hold each term, over all documents and whole texts."""
-    held = F.array_distinct(F.split(F.lower(text_column), r"[^a-zß-ɏ]+"))
+    """Number of documents that hold each term, over all documents; at least ``SUPPORT``."""
     return (
-        docs.select(F.explode_outer(held).alias("term"))
-        .filter(F.length("term") >= 4)
+        docs.select(F.explode(_held_terms(whole_text(text_column))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
+        .filter(F.col("n_term") >= SUPPORT)
+    )
+
+
+def entity_terms(
+    docs: DataFrame, pieces: DataFrame, base: DataFrame, n_docs: int, text_column: str
+) -> DataFrame:
+    """text (its first row), kind, value, term of entities in their texts, with the counts: stored.
+
+    ``n_texts`` rows have the text. Pairs are left out that cannot reach the threshold: entities
+    in fewer than ``SUPPORT`` texts, and terms that are too frequent even if they stand in all
+    documents of the entity.
+    """
+    per_text = (
+        base.groupBy("content", "kind", "value")
+        .agg(F.count_distinct("row").alias("n_rows"), F.min("row").alias("first_row"))
+        .drop("content")
+    )
+    entities = (
+        per_text.groupBy("kind", "value")
+        .agg(F.sum("n_rows").alias("n_entity"), F.count(F.lit(1)).alias("n_texts"))
+        .filter(F.col("n_texts") >= SUPPORT)
+        .drop("n_texts")
+    )
+    known = per_text.join(entities, ["kind", "value"])
+    texts = pieces.filter("text IS NOT NULL").select(F.col("row").alias("first_row"), "text")
+    terms = (
+        texts.join(known.select("first_row").distinct(), "first_row", "left_semi")
+        .select("first_row", F.explode(_held_terms(F.col("text"))).alias("term"))
+        .join(term_documents(docs, text_column), "term")
+    )
+    # n_both <= n_entity: mutual / own >= GENERALISE needs n_term <= N^(1 - g) * n_entity^g
+    most = F.pow(F.lit(float(n_docs)), F.lit(1 - GENERALISE)) * F.pow("n_entity", F.lit(GENERALISE))
+    return materialise(
+        known.join(terms, "first_row").filter(F.col("n_term") <= most * (1 + 1e-9)), "personal-data-terms"
     )
 
 
-def disclosures(docs: DataFrame, base: DataFrame, near: DataFrame, n_docs: int, text_column: str) -> DataFrame:
+def disclosures(pairs: DataFrame, n_docs: int) -> DataFrame:
     """kind, value, term and the share of the entity's information that the term discloses."""
-    entities = base.groupBy("kind", "value").agg(F.count_distinct("row").alias("n_entity"))
     together = (
-        near.groupBy("kind", "value", "term")
-        .agg(F.count_distinct("row").alias("n_both"), F.count_distinct("content").alias("support"))
+        pairs.groupBy("kind", "value", "term")
+        .agg(
+            F.sum("n_rows").alias("n_both"),
+            F.count(F.lit(1)).alias("support"),
+            F.first("n_entity").alias("n_entity"),
+            F.first("n_term").alias("n_term"),
+        )
         .filter(F.col("support") >= SUPPORT)
     )
-    known = together.join(entities, ["kind", "value"]).join(term_documents(docs, text_column), "term")
     total = F.lit(float(n_docs))
-    mutual = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.greatest("n_term", "n_both")))
+    mutual = F.log2(total * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     own = F.log2(total / F.col("n_entity"))
-    return known.select("kind", "value", "term", F.when(own > 0, mutual / own).alias("disclosure"))
+    return together.select("kind", "value", "term", F.when(own > 0, mutual / own).alias("disclosure"))
+
+
+def term_places(pieces: DataFrame, base: DataFrame, pairs: DataFrame, telling: DataFrame) -> DataFrame:
+    """row, start, end and disclosure of every place of a telling term in the entity's documents."""
+    per_term = (
+        pairs.join(telling, ["kind", "value", "term"])
+        .groupBy("first_row", "term")
+        .agg(F.max("disclosure").alias("disclosure"))
+    )
+    per_text = per_term.groupBy("first_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("terms")
+    )
+    texts = pieces.filter("text IS NOT NULL").select(F.col("row").alias("first_row"), "text")
+    stepped = texts.join(per_text, "first_row").select(
+        "first_row", "terms", F.posexplode(_steps(F.col("text"))).alias("pos", "step")
+    )
+    length = F.coalesce(F.length("step.word"), F.lit(0))
+    order = Window.partitionBy("first_row").orderBy("pos")
+    places = (
+        stepped.select(
+            "first_row",
+            "pos",
+            (F.col("step.skip") + length).alias("moved"),
+            length.cast("long").alias("length"),
+            F.when(length > 0, F.try_element_at("terms", F.lower("step.word"))).alias("disclosure"),
+        )
+        .withColumn("end", F.sum("moved").over(order))
+        .filter("disclosure IS NOT NULL")
+        .select("first_row", (F.col("end") - F.col("length")).alias("start"), "end", "disclosure")
+    )
+    rows = base.select("content", "row").distinct()
+    firsts = rows.groupBy("content").agg(F.min("row").alias("first_row"))
+    alike = rows.join(firsts, "content").select("row", "first_row")
+    return places.join(alike, "first_row").select("row", "start", "end", "disclosure")
 
 
 def personal_spans(
@@ -211,15 +273,12 @@ def personal_spans(
     """
     pieces = find_pieces(docs, id_column, text_column)
     base = materialise(base_spans(pieces), "personal-data-base")
-    near = materialise(context_terms(base), "personal-data-terms")
-    n_docs = pieces.select("row").distinct().count()
-    telling = disclosures(docs, base, near, n_docs, text_column).filter(F.col("disclosure") >= GENERALISE)
+    n_docs = pieces.filter("pos IS NULL OR pos = 0").count()
+    pairs = entity_terms(docs, pieces, base, n_docs, text_column)
+    telling = disclosures(pairs, n_docs).filter(F.col("disclosure") >= GENERALISE)
     term_kind = F.lit(len(PATTERNS))
-    terms = (
-        near.join(telling, ["kind", "value", "term"])
-        .groupBy("row", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .select("row", term_kind.alias("kind"), "start", "end", "disclosure")
+    terms = term_places(pieces, base, pairs, telling).select(
+        "row", term_kind.alias("kind"), "start", "end", "disclosure"
     )
     spans = base.select("row", "kind", "start", "end", F.lit(None).cast("double").alias("disclosure"))
     is_base = F.col("kind") < term_kind

@@ -250,6 +250,27 @@ def test_personal_data_patterns_and_terms(spark):
     assert clean[1].startswith("mail [EMAIL][EMAIL], [IP].[IP] and 999")
 
 
+def test_terms_of_whole_texts_give_entities_away(spark):
+    far = "the note from a writer today " * 5
+    rows = [
+        (1, f"Heiress {far}x@y.zz, k@l.mn 1.2.3.4.5 {far} zanzibar, zanzibar {far}Наследница"),
+        (2, f"наследница ZANZIBAR {far}k@l.mn, 4.5.6.7 {far} heiress"),
+        (2, f"наследница ZANZIBAR {far}k@l.mn, 4.5.6.7 {far} heiress"),
+        (3, "zanzibar alone"),
+        *((i, far) for i in range(4, 60)),
+    ]
+    texts = dict(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = personal_data.personal_spans(docs).collect()
+    cut = [(r.id, [texts[r.id][s.start : s.end].lower() for s in r.spans if s.kind == 4]) for r in found]
+    expected = [re.findall("heiress|zanzibar|наследница", t.lower()) for _, t in rows]
+    assert sorted(cut) == sorted((i, x if i < 3 else []) for (i, _), x in zip(rows, expected))
+    share = {texts[r.id][s.start : s.end].lower(): s.disclosure for r in found for s in r.spans if s.kind == 4}
+    n = len(rows)
+    assert share["heiress"] == share["наследница"] == pytest.approx(1)
+    assert share["zanzibar"] == pytest.approx(np.log2(n * 3 / (3 * 4)) / np.log2(n / 3))
+
+
 def test_licenses_are_found_across_line_breaks(spark):
     mit, bsd = license_scan.TEMPLATES[1][0], license_scan.TEMPLATES[-1][0]
     foreign = [f"w{i}" for i in range(50)]
