@@ -13,8 +13,12 @@ Between shards. Every string of ``length`` bytes has an anchor: the ``GRAM`` byt
 smallest hash, which equal strings share. Per anchor a shard sends one row: the hash of its bytes,
 the hash of the neighbourhood (all strings with this anchor), and the place. Rows of all shards
 are merged in the order of these hashes. Where an anchor has equal neighbourhoods only, all but
-the first are repeats; where neighbourhoods differ, the bytes of one of each kind are fetched, get
-a suffix array of their own, and each string is looked up in it by binary search.
+the first are repeats; where neighbourhoods differ, the bytes of one of each kind are fetched and
+grouped by a suffix array of their own. An anchor with more than ``CROWDED`` neighbourhoods (a line
+that many documents share amid different text) would outgrow a task: each of its strings is then
+keyed by its own digest, and all but the oldest per digest are repeats. A document longer than a
+shard is cut into parts that overlap by ``length`` - 1 bytes, so that each string lies in one part;
+the parts exchange anchors as shards do.
 """
 
 from __future__ import annotations
@@ -30,11 +34,12 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import whole_text
 from panelkit.llm.hashing import between, joined_bytes, mixed, prefix_hash, steps
-from panelkit.session import materialise
+from panelkit.session import materialise, materialise_counted
 
 LENGTH = 100
 SHARD = 3 << 19  # bytes; arrays of a shard take some hundred times as much
 GRAM = 20
+CROWDED = 4096  # neighbourhoods of one anchor that one task compares; each has under 200 bytes
 
 #: kind 0: a document; 1: starts first..last of strings that are repeats; 2: the strings that
 #: start at first..last must be compared with those of the other rows of the same key
@@ -134,8 +139,24 @@ def starts_of(offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
     return np.arange(counts.sum()) - before[owner] + offsets[owner], owner
 
 
-def shard_rows(part: pa.RecordBatch, length: int) -> pa.RecordBatch:
-    """The documents, local repeats and anchors of one shard."""
+def shards(batch: pa.RecordBatch, length: int) -> Iterator[tuple[pa.RecordBatch, int]]:
+    """Slices of a batch with at most ``SHARD`` starts of strings, and where the first text's begins."""
+    for part in steps(batch, "text", SHARD):
+        text = part.column("text")[0].as_buffer()
+        if len(part) > 1 or text is None or text.size < SHARD + length:
+            yield part, 0
+            continue
+        at = part.schema.get_field_index("text")
+        for base in range(0, text.size - length + 1, SHARD):
+            piece = text.slice(base, min(SHARD + length - 1, text.size - base)).to_pybytes()
+            yield part.set_column(at, "text", pa.array([piece], pa.large_binary())), base
+
+
+def shard_rows(part: pa.RecordBatch, length: int, base: int = 0) -> pa.RecordBatch:
+    """The documents, local repeats and anchors of one shard.
+
+    With a ``base`` it is a later part of one document, which begins there.
+    """
     data, offsets = joined_bytes(part.column("text"))
     row, content = (part.column(c).to_numpy() for c in ("row", "content"))
     known = part.column("id")
@@ -150,7 +171,7 @@ def shard_rows(part: pa.RecordBatch, length: int) -> pa.RecordBatch:
     begin, end = runs(again * (len(row) + 1) + owner)
     local = again[begin]
     rows = [
-        pd.DataFrame({"kind": DOCUMENT, "key": mixed(row.astype(np.uint64)), "doc": np.arange(len(row))}),
+        pd.DataFrame({"kind": DOCUMENT, "key": mixed(row.astype(np.uint64)), "doc": np.arange(len(row))})[len(row) if base else 0 :],
         pd.DataFrame(
             {
                 "kind": REPEAT,
@@ -180,7 +201,7 @@ def shard_rows(part: pa.RecordBatch, length: int) -> pa.RecordBatch:
     )
     every = pd.concat(rows, ignore_index=True).fillna({"near": 0, "first": 0, "last": 0})
     doc = every["doc"].to_numpy()
-    place = [every[c].to_numpy().astype(np.int64) - offsets[doc] for c in ("first", "last")]
+    place = [every[c].to_numpy().astype(np.int64) - offsets[doc] + base for c in ("first", "last")]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(every["kind"].to_numpy().astype(np.int32)),
@@ -290,6 +311,29 @@ def compare_variants(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
         yield repeated(held)
 
 
+def crowded_repeats(cut: DataFrame, length: int) -> DataFrame:
+    """row, first, last of each string of crowded anchors that an older one equals."""
+    digest = F.substring(F.unhex(F.sha2(F.substring("bytes", F.col("i") + 1, F.lit(length)), 256)), 1, 16)
+    strings = cut.withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.octet_length("bytes") - length))
+    ).select(
+        digest.alias("digest"),
+        F.struct(
+            F.col("id").isNull().alias("unknown"), "id", "row", (F.col("first") + F.col("i")).alias("start")
+        ).alias("age"),
+    )
+    oldest = (
+        strings.groupBy("digest")
+        .agg(F.min("age").alias("oldest"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 1)
+    )
+    return (
+        strings.join(oldest, "digest")
+        .filter((F.col("age.row") != F.col("oldest.row")) | (F.col("age.start") != F.col("oldest.start")))
+        .select("age.row", F.col("age.start").alias("first"), F.col("age.start").alias("last"))
+    )
+
+
 def _numbered(rows: DataFrame, order: Column) -> DataFrame:
     """Rows with the same id and text are told apart by a number."""
     alike = Window.partitionBy("id", "content").orderBy(order)
@@ -297,7 +341,11 @@ def _numbered(rows: DataFrame, order: Column) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    length: int = LENGTH,
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, kept_sha256, spans (start, end) and kept of every row.
 
@@ -314,8 +362,8 @@ def remove_repeats(
 
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch, "text", SHARD):
-                yield shard_rows(part, length)
+            for part, base in shards(batch, length):
+                yield shard_rows(part, length, base)
 
     rows = texts.withColumn("row", F.monotonically_increasing_id())
     age = [F.col("id").isNull(), F.col("id"), F.col("row"), F.col("first")]
@@ -330,10 +378,18 @@ def remove_repeats(
         found.filter(F.col("kind") == DOCUMENT).select("row", "id", "content"), F.col("row")
     )
     with_copy = _numbered(texts, F.lit(0))
-    variants = found.filter(F.col("kind") == ANCHOR)
+    variants = found.filter(F.col("kind") == ANCHOR).select("key", "row", "first", "last")
+    keys, n_keys = materialise_counted(
+        variants.groupBy("key").count().filter(F.col("count") > crowded).select("key"), "suffix-crowded"
+    )
+    many = F.lit(False)
+    if n_keys:
+        variants = variants.join(keys.withColumn("found", F.lit(True)), "key", "left")
+        many = F.col("found").isNotNull()
     wanted = (
-        variants.groupBy("row")
-        .agg(F.collect_list(F.struct("key", "first", "last")).alias("places"))
+        variants.select("row", F.struct("key", "first", "last", many.alias("many")).alias("place"))
+        .groupBy("row")
+        .agg(F.collect_list("place").alias("places"))
         .join(everyone, "row")
     )
     met = ["content", "copy"]
@@ -346,6 +402,7 @@ def remove_repeats(
         .select(F.col("b.row").alias("row"), F.col("a.id").alias("id"), F.encode("a.text", "UTF-8").alias("text"), F.explode("b.places").alias("place"))
         .select(
             "place.key",
+            "place.many",
             "row",
             "id",
             "place.first",
@@ -354,12 +411,18 @@ def remove_repeats(
             ).alias("bytes"),
         )
     )
+    if n_keys:
+        cut = materialise(cut, "suffix-variants")
     compared = (
-        cut.repartition("key")
+        cut.filter(~F.col("many"))
+        .drop("many")
+        .repartition("key")
         .sortWithinPartitions("key", *age)
         .mapInArrow(lambda batches: compare_variants(batches, length), "row long, first int, last int")
     )
     again = found.filter(F.col("kind") == REPEAT).select("row", "first", "last").unionByName(compared)
+    if n_keys:
+        again = again.unionByName(crowded_repeats(cut.filter("many"), length))
     marks = again.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("marks"))
     marked = everyone.join(marks, "row", "left").select("id", "content", "copy", "marks")
     return (

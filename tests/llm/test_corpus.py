@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelkit.llm import (
@@ -183,6 +184,52 @@ def test_repeats_against_brute_force(spark, texts):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in rows} == expected
 
 
+def test_repeats_of_crowded_anchors(spark):
+    draw = random.Random(8)
+    line = "".join(draw.choices("abcdefgh", k=130))
+
+    def noise(n):
+        return "".join(draw.choices("ijklmnop", k=n))
+
+    rows = [(i % 35 or None, noise(90) + line[i % 40 :] + noise(90)) for i in range(60)]
+    rows += [(70 + i, rows[i][1][50:] + noise(9)) for i in range(5)] + [(80, line + noise(5) + line)]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    seen, expected = set(), []
+    for i in order:
+        data = rows[i][1]
+        gone = set()
+        for p in range(len(data) - 99):
+            if data[p : p + 100] in seen:
+                gone |= set(range(p, p + 100))
+            seen.add(data[p : p + 100])
+        kept = "".join(c for p, c in enumerate(data) if p not in gone)
+        expected.append((rows[i][0], len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    # batches of two texts: equal strings meet by their anchors only
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        found = suffix_dedup.remove_repeats(docs, crowded=10).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(str, expected)) == sorted(str((r.id, r.n_removed, r.kept_sha256)) for r in found)
+
+
+def test_long_documents_are_cut_into_shards(spark):
+    size, draw = suffix_dedup.SHARD, random.Random(9)
+    passage = "".join(draw.choices("abcdefgh", k=300))
+    text = bytearray(draw.choices(b"ijklmnop", k=2 * size + 5_000))
+    for at, edge in ((1_000, "1"), (size - 150, "2"), (2 * size + 50, "3")):
+        text[at - 1 : at + 301] = (edge + passage + edge).encode()
+    text = text.decode()
+    batch = pa.RecordBatch.from_pylist([{"text": "short"}, {"text": text}, {"text": ""}])
+    parts = [(part.column("text").to_pylist(), base) for part, base in suffix_dedup.shards(batch, 100)]
+    assert [base for _, base in parts] == [0, 0, size, 2 * size, 0]
+    assert max(sum(map(len, texts)) for texts, _ in parts) == size + 99
+    docs = spark.createDataFrame([(1, text), (2, "x" + passage)], "doc_id long, text string")
+    spans = {r.id: [tuple(s) for s in r.spans] for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert spans == {1: [(size - 150, size + 150), (2 * size + 50, 2 * size + 350)], 2: [(1, 301)]}
+
+
 def test_quality_counts(spark, texts):
     rows = {r.doc_id: r for r in queries.op8_quality_rules(spark, SMALL).collect()}
     for i, text in texts.items():
