@@ -5,6 +5,10 @@ every piece, learned by expectation maximisation from labelled documents: the ex
 uses of a piece over all segmentations of the words. A text's likelihood is the product over its
 words of the forward sum over all segmentations; the language with the largest one is predicted.
 Words do not depend on each other, so each distinct word of a batch is summed once.
+
+A word is a run of letters. Long runs, such as clauses of scripts without word spaces, are cut, and
+each part counts as a word: for learning after ``LEARNED`` letters, for scores after ``LONGEST``.
+Segmentations across a cut are not summed.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ ROUNDS = 3
 UNSEEN = 1e-7  # probability of a character without a piece
 SMOOTHING = 0.05
 LONGEST = 256  # a longer run of letters is scored in parts of this length
-LEARNED = 40  # longest word learned from
+LEARNED = 40  # a longer run is learned from in parts of this length, whose sums need no scaling
 UNDETERMINED = "und"
 KEPT = 400_000  # words whose sums a task keeps
 
@@ -151,11 +155,11 @@ def _by_width(words: list[str], letters: int = 300_000) -> Iterator[np.ndarray]:
         begin = end
 
 
-def letter_runs(text: str) -> list[str]:
+def letter_runs(text: str, longest: int = LONGEST) -> list[str]:
     runs = LETTERS.findall(text.lower())
-    if max(map(len, runs), default=0) <= LONGEST:
+    if max(map(len, runs), default=0) <= longest:
         return runs
-    return [run[i : i + LONGEST] for run in runs for i in range(0, len(run), LONGEST)]
+    return [run[i : i + longest] for run in runs for i in range(0, len(run), longest)]
 
 
 def labelled_sample(docs: DataFrame, id_column: str, text_column: str, lang_column: str) -> DataFrame:
@@ -192,7 +196,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             frame = batch.to_pandas().dropna()
             for lang, texts in frame.groupby("lang")["text"]:
-                words = pd.Series([w for text in texts for w in letter_runs(text) if w.isalpha()])
+                words = pd.Series([w for text in texts for w in letter_runs(text, LEARNED) if w.isalpha()])
                 counts = words.value_counts()
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -209,9 +213,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
 def learn(sample: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """The languages, and a table of piece probabilities with a column for each."""
     spark = sample.sparkSession
-    counts = materialise(
-        word_counts(sample).filter(F.length("word") <= LEARNED), "language-words"
-    )
+    counts = materialise(word_counts(sample), "language-words")
     languages = sorted(row["lang"] for row in counts.select("lang").distinct().collect())
     pieces = Pieces(vocabulary)
     size = len(pieces.names)

@@ -271,6 +271,25 @@ def test_language_of_held_out_documents(spark):
     assert (held.lang_pred == held.lang).mean() > 0.95
 
 
+def test_long_runs_of_letters_are_learned_from(spark):
+    rows = [("aa", "abcde" * 12), ("bb", "vwxyz" * 12 + " vwxyz"), ("cc", "q" * 1_000)]
+    sample = spark.createDataFrame(rows, "lang string, text string")
+    counts = {(r.lang, r.word): r.n for r in language_id.word_counts(sample).collect()}
+    assert counts == {
+        ("aa", "abcde" * 8): 1,
+        ("aa", "abcde" * 4): 1,
+        ("bb", "vwxyz" * 8): 1,
+        ("bb", "vwxyz" * 4): 1,
+        ("bb", "vwxyz"): 1,
+        ("cc", "q" * 40): 25,
+    }
+    languages, table = language_id.learn(sample)
+    assert languages == ["aa", "bb", "cc"] and np.isfinite(table).all()
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = language_id.predict(docs, languages, table).collect()
+    assert [r.lang_pred for r in sorted(found, key=lambda r: r.id)] == languages
+
+
 def test_forward_sums_all_segmentations():
     found = [np.array([[0, 1, 2]]), np.array([[3, 4]]), np.array([[5]])]
     table = np.array([[0.1], [0.2], [0.3], [0.4], [0.5], [0.6], [0.0]])
