@@ -280,7 +280,7 @@ def compare_variants(batches: Iterator[pa.RecordBatch], length: int) -> Iterator
         sorted_groups = group[sorted_starts]
         text_of = np.zeros(len(data), dtype=np.int64)
         text_of[valid] = owner
-        # the oldest string of a group, found for each start by binary search in the suffix array
+        # the oldest string of each group, looked up by the group's number
         oldest = np.minimum.reduceat(
             text_of[sorted_starts], np.searchsorted(sorted_groups, np.unique(sorted_groups))
         ) if len(valid) else np.zeros(0, np.int64)
