@@ -1,4 +1,4 @@
-"""Every registered query against independent SQL on the same tables."""
+"""Every panel query against independent SQL on the same tables."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_points
+import oracles
+from panelkit.plans import catalog
 from tests.support import connect, difference
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracles.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
