@@ -15,6 +15,7 @@ from panelkit.llm import (
     packing,
     personal_data,
     quality_rules,
+    resampling,
     source_mixing,
     suffix_dedup,
     token_counts,
@@ -101,5 +102,10 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scanned.withColumnRenamed("id", "doc_id")
 
 
+def op13_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}
