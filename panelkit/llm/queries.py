@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (
+    conversation_repair,
     exact_dedup,
     language_id,
     license_scan,
@@ -102,6 +103,13 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scanned.withColumnRenamed("id", "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    found = conversation_repair.repair(conversation_repair.damaged(rows))
+    found = conversation_repair.with_all(found, F.col("conv_id"), rows)
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def op13_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
     drawn = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return drawn.withColumnRenamed("id", "doc_id")
