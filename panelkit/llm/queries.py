@@ -20,6 +20,7 @@ from panelkit.llm import (
     source_mixing,
     suffix_dedup,
     token_counts,
+    toxicity,
 )
 from panelkit.llm.common import table
 
@@ -110,6 +111,11 @@ def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumnRenamed("conv", "conv_id")
 
 
+def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.assess(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 def op13_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
     drawn = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return drawn.withColumnRenamed("id", "doc_id")
