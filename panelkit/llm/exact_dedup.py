@@ -25,6 +25,8 @@ STATE_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # without it each partition of the state reserves 4 MB for a log of a few hundred bytes
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 BYTES_PER_BATCH = 8 << 30
 
@@ -191,19 +193,24 @@ def exact_dedup(
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that stay, one row of each group of equal texts, with all their columns."""
+    """The documents that stay, one row of each group of equal texts, with all their columns.
+
+    Null texts count as empty, and an empty table stays empty. Of rows that share id and normalised
+    text the first by their other columns stays (columns that have no order, such as maps, are not
+    looked at). Rows travel as one struct, so columns may have any names.
+    """
     stays = (
         exact_dedup(docs, id_column, text_column)
         .filter("kept")
-        .select(F.col("id").alias("__id"), F.col("digest").alias("__digest"))
-    )
-    rows = docs.withColumn("__digest", sha256(normalised(F.col(text_column)))).withColumn(
-        "__id", F.col(id_column).cast("long")
+        .select(F.col("id").alias("kept_id"), F.col("digest").alias("kept_digest"))
     )
-    kept = rows.join(
-        stays.withColumnsRenamed({"__id": "__kept", "__digest": "__of"}),
-        F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__digest") == F.col("__of")),
-        "left_semi",
+    ordered = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_column).cast("long").alias("id"),
+        sha256(normalised(F.col(text_column))).alias("digest"),
     )
-    same = Window.partitionBy("__id", "__digest").orderBy(*docs.columns)
-    return kept.withColumn("__n", F.row_number().over(same)).filter("__n = 1").select(*docs.columns)
+    met = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+    same = Window.partitionBy("id", "digest").orderBy(*(F.col("row").getField(c) for c in ordered))
+    kept = rows.join(stays, met, "left_semi").withColumn("n", F.row_number().over(same))
+    return kept.filter("n = 1").select("row.*")

@@ -290,13 +290,15 @@ def full_sets(
                 )
 
     places = nodes.join(wanted.distinct(), "node", "left_semi").select(
-        "node", F.col("id").alias("__id"), F.col("content").alias("__content")
+        "node", F.col("id").alias("node_id"), F.col("content").alias("node_content")
     )
-    texts = docs.join(
-        places,
-        F.col(id_column).cast("long").eqNullSafe(F.col("__id"))
-        & (F.xxhash64(whole_text(text_column)) == F.col("__content")),
-    ).select("node", F.col(text_column).alias("text"))
+    rows = docs.select(
+        F.col(id_column).cast("long").alias("id"),
+        F.xxhash64(whole_text(text_column)).alias("content"),
+        F.col(text_column).alias("text"),
+    )
+    same = F.col("id").eqNullSafe(F.col("node_id")) & (F.col("content") == F.col("node_content"))
+    texts = rows.join(places, same).select("node", "text")
     sets = texts.mapInArrow(hashed, "node long, tokens binary").dropDuplicates(["node"])
     return materialise(sets, "ngram-full-sets")
 
@@ -519,19 +521,26 @@ def linked_components(
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The documents that stay: one row of each component, with the smallest id, and its columns."""
+    """The documents that stay: one row of each component, with the smallest id, and its columns.
+
+    A null text counts as empty; rows without words are linked with nothing and all stay, and an
+    empty table stays empty. Of rows that share id and text the first by their other columns stay
+    (columns that have no order, such as maps, are not looked at). Rows travel as one struct, so
+    columns may have any names.
+    """
     stays = (
         near_duplicates(docs, id_column, text_column, **options)
         .filter("first")
-        .groupBy(F.col("id").alias("__of"), F.col("content").alias("__text"))
-        .agg(F.count(F.lit(1)).alias("__copies"))
-    )
-    rows = docs.withColumn("__id", F.col(id_column).cast("long")).withColumn(
-        "__content", F.xxhash64(whole_text(text_column))
+        .groupBy(F.col("id").alias("kept_id"), F.col("content").alias("kept_content"))
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    met = rows.join(
-        stays, F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__content") == F.col("__text"))
+    ordered = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_column).cast("long").alias("id"),
+        F.xxhash64(whole_text(text_column)).alias("content"),
     )
-    alike = Window.partitionBy("__id", "__content").orderBy(*docs.columns)
-    kept = met.withColumn("__n", F.row_number().over(alike)).filter("__n <= __copies")
-    return kept.select(*docs.columns)
+    met = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("content") == F.col("kept_content"))
+    alike = Window.partitionBy("id", "content").orderBy(*(F.col("row").getField(c) for c in ordered))
+    kept = rows.join(stays, met).withColumn("n", F.row_number().over(alike))
+    return kept.filter("n <= copies").select("row.*")

@@ -189,3 +189,14 @@ def with_judgement(
     return docs.withColumn(
         "__judged", once(whole_text(text_column), lambda t: judgement(t, ratio, buckets, threshold))
     )
+
+
+def kept_documents(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents that pass the rules, with all their columns, which may have any names.
+
+    A null or empty text fails the base rules; repeated rows are judged alike; an empty table stays empty.
+    """
+    ratio = F.from_json(F.lit(str(weights(docs, trusted, id_column, text_column, BUCKETS))), "array<double>")
+    judged = once(whole_text(text_column), lambda t: judgement(t, ratio, BUCKETS, THRESHOLD))
+    rows = docs.select(F.struct("*").alias("row"), judged.alias("judged"))
+    return rows.filter("judged.kept").select("row.*")

@@ -257,33 +257,37 @@ def mixed_texts(docs: DataFrame, mixture: Mixture, id_column: str, text_column:
     """The documents with the texts that the mixture takes, a row for each pass over them.
 
     A document taken as a whole keeps its text; of one taken in part the row holds the taken
-    words, in their order.
+    words, in their order. Documents without words are not taken. Rows that share id and text must
+    have been made one before; an empty table stays empty. Rows travel as one struct, so columns
+    may have any names.
     """
     spans = (
         mixture.placed.join(mixture.rows.select("row", "id", "content", "size"), "row")
         .groupBy("row", "pass")
         .agg(
-            F.first("id").alias("__id"),
-            F.first("content").alias("__content"),
-            F.sum(F.col("end") - F.col("first")).alias("__taken"),
-            F.first("size").alias("__size"),
-            F.sort_array(F.collect_list(F.struct("first", "end"))).alias("__spans"),
+            F.first("id").alias("taken_id"),
+            F.first("content").alias("taken_content"),
+            F.sum(F.col("end") - F.col("first")).alias("taken"),
+            F.first("size").alias("size"),
+            F.sort_array(F.collect_list(F.struct("first", "end"))).alias("spans"),
         )
         .drop("row", "pass")
     )
-    held = words(whole_text(text_column))
-
     def part(found: Column) -> Column:
         cut = F.transform(
-            "__spans",
+            "spans",
             lambda s: F.slice(found, (s["first"] + 1).cast("int"), (s["end"] - s["first"]).cast("int")),
         )
         return F.array_join(F.flatten(cut), " ")
 
-    text = F.when(F.col("__taken") == F.col("__size"), F.col(text_column)).otherwise(once(held, part))
-    joined = docs.join(
-        spans,
-        F.col(id_column).cast("long").eqNullSafe(F.col("__id"))
-        & (F.xxhash64(text_column) == F.col("__content")),
+    rows = docs.select(
+        F.struct("*").alias("doc"),
+        F.col(id_column).cast("long").alias("id"),
+        F.xxhash64(text_column).alias("content"),
+    )
+    whole = F.col("doc").getField(text_column)
+    text = F.when(F.col("taken") == F.col("size"), whole).otherwise(once(words(whole_text(whole)), part))
+    joined = rows.join(
+        spans, F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("content") == F.col("taken_content"))
     )
-    return joined.select(*(text.alias(c) if c == text_column else F.col(c) for c in docs.columns))
+    return joined.select(*((text if c == text_column else F.col("doc").getField(c)).alias(c) for c in docs.columns))

@@ -1,4 +1,10 @@
-"""Stages of the corpus pipeline: each takes documents and returns those that go on."""
+"""Stages of the corpus pipeline: each takes documents and returns those that go on.
+
+Null texts count as empty: the quality rules reject them, the other stages keep or pack them as
+texts without words. An empty table gives an empty table. Rows repeated with one id and text are
+one document from the exact stage on. All columns are carried along, whatever their names, but for
+the last stage, which returns places instead of documents.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +18,7 @@ from panelkit.llm.common import table
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     trusted = quality_rules.trusted_documents(table(spark, sf_dir, "labels"))
-    judged = quality_rules.with_judgement(docs, trusted)
-    return judged.filter("__judged.kept").select(*docs.columns)
+    return quality_rules.kept_documents(docs, trusted)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
