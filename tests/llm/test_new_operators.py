@@ -226,3 +226,26 @@ def test_resampling_of_odd_rows(spark):
     assert resampling.resample(docs.limit(0), target).count() == 0
     assert np.all(resampling.gains(np.zeros(4, int), np.zeros(4, int)) == 0)
     assert resampling.resample(docs, target.limit(0)).count() == len(rows)
+
+
+def test_token_counts_of_the_whole_table(spark):
+    import duckdb
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from panelkit.llm import queries, token_counts
+
+    encoder = Tokenizer.from_file(public_tokenizers.path(token_counts.TOKENIZER))
+    folder = "/root/testdata/sf0.01"
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall()
+    expected = {}
+    for i, text in rows:
+        n = len(encoder.encode(text or "", add_special_tokens=False).ids)
+        expected[i] = (len((text or "").encode()), n, n > 1024)
+    found = queries.op6_token_counts(spark, folder).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in found} == expected
+    draw = random.Random(1)
+    parts = ["a", " ", "\n", "  ", "é", "'s", "<|endoftext|>", "1", "日本", "!", "\x1c", "\xa0", "\x0b", "\x85", "　", "b"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 60))) for _ in range(2_000)]
+    counts = token_counts.PieceCounts(lambda t: [len(e) for e in encoder.encode_batch_fast(t, add_special_tokens=False)], 500)
+    assert counts.of(texts) == [len(encoder.encode(t, add_special_tokens=False).ids) for t in texts]
