@@ -15,8 +15,10 @@ the hash of the neighbourhood (all strings with this anchor), and the place. Row
 are merged in the order of these hashes. Where an anchor has equal neighbourhoods only, all but
 the first are repeats; where neighbourhoods differ, the bytes of one of each kind are fetched and
 grouped by a suffix array of their own. An anchor with more than ``CROWDED`` neighbourhoods (a line
-that many documents share amid different text) would outgrow a task: each of its strings is then
-keyed by its own digest, and all but the oldest per digest are repeats. A document longer than a
+that many documents share amid different text) would outgrow a task: its strings are then keyed anew,
+by the anchor together with the smallest grams before and after it, which equal strings share too, and
+go the same way. Strings of keys that stay crowded are keyed by their own digests, and all but the
+oldest per digest are repeats. A document longer than a
 shard is cut into parts that overlap by ``length`` - 1 bytes, so that each string lies in one part;
 the parts exchange anchors as shards do.
 """
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import whole_text
@@ -41,10 +43,11 @@ SHARD = 3 << 19  # bytes; arrays of a shard take some hundred times as much
 GRAM = 20
 CROWDED = 4096  # neighbourhoods of one anchor that one task compares; each has under 200 bytes
 
-#: kind 0: a document; 1: starts first..last of strings that are repeats; 2: the strings that
-#: start at first..last must be compared with those of the other rows of the same key
-FOUND = "kind int, key long, near long, row long, id long, content long, first int, last int"
-ANCHOR, REPEAT, DOCUMENT = 2, 1, 0
+#: kind 1: starts first..last of strings that are repeats; 2: the strings that start at first..last
+#: must be compared with those of the other rows of the same key
+FOUND = "kind int, key long, near long, row long, id long, first int, last int"
+SPLIT = f"{FOUND}, bytes binary"
+ANCHOR, REPEAT = 2, 1
 
 
 def suffix_groups(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +63,7 @@ def suffix_groups(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     step = min(8, length)
     for i in range(step):
         head = head << np.uint64(8) | padded[i : n + i]
-    order = np.argsort(head, kind="stable")
+    order = np.argsort(head)
     sorted_heads = head[order]
     new = np.ones(n, dtype=bool)
     new[1:] = sorted_heads[1:] != sorted_heads[:-1]
@@ -81,7 +84,7 @@ def suffix_groups(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
             break
         members = order[places]
         own, beyond = group[members], group[np.minimum(members + apart, n)]
-        by = np.lexsort((beyond, own)) if n >= 1 << 31 else np.argsort(own << 32 | (beyond + 1), kind="stable")
+        by = np.lexsort((beyond, own)) if n >= 1 << 31 else np.argsort(own << 32 | (beyond + 1))
         members, own, beyond = members[by], own[by], beyond[by]
         order[places] = members
         fresh = np.ones(len(members), dtype=bool)
@@ -97,30 +100,87 @@ def repeats(data: np.ndarray, valid: np.ndarray, age: np.ndarray, length: int) -
     """Which of the positions ``valid`` start a string that starts at another one of less ``age``."""
     if not len(valid):
         return np.zeros(0, dtype=bool)
-    _, group = suffix_groups(data, length)
-    own = group[valid]
-    by = np.lexsort((age, own))
-    again = np.zeros(len(valid), dtype=bool)
-    again[by[1:]] = own[by[1:]] == own[by[:-1]]
-    return again
+    order, group = suffix_groups(data, length)
+    ages = np.full(len(data), np.iinfo(np.int64).max)
+    ages[valid] = age
+    begin = np.flatnonzero(group[order] == np.arange(len(order)))  # a group is numbered by its place
+    oldest = np.minimum.reduceat(ages[order], begin)
+    number = np.zeros(len(data), dtype=np.int64)
+    number[begin] = np.arange(len(begin))
+    return age > oldest[number[group[valid]]]
+
+
+_PLACE = np.uint64(32)  # bits of a position, below the hash of its gram
+
+
+def ranked_grams(sums: np.ndarray) -> np.ndarray:
+    """For each position the hash of the gram there above the position: the same order in all shards."""
+    starts = np.arange(max(0, len(sums) - GRAM))
+    low = mixed(between(sums, starts, starts + GRAM))
+    return low >> _PLACE << _PLACE | starts.astype(np.uint64)
+
+
+def place_of(gram: np.ndarray) -> np.ndarray:
+    return (gram & ((np.uint64(1) << _PLACE) - np.uint64(1))).astype(np.int64)
 
 
 def anchors(sums: np.ndarray, valid: np.ndarray, length: int) -> np.ndarray:
     """Position of the anchor of the string at each valid start: the first smallest gram hash."""
-    n = len(sums) - 1
-    count = n - GRAM + 1
-    if count <= 0 or not len(valid):
+    low = ranked_grams(sums)
+    if not len(low) or not len(valid):
         return np.zeros(0, dtype=np.int64)
-    starts = np.arange(count)
-    low = mixed(between(sums, starts, starts + GRAM))
-    bits = np.uint64(32)  # of the hash, above the position: the same in all shards
-    low = low >> bits << bits | starts.astype(np.uint64)
     span, reach = length - GRAM + 1, 1
     while reach < span:  # smallest of ``reach`` neighbours, doubled
         more = min(reach, span - reach)
         low[:-more] = np.minimum(low[:-more], low[more:])
         reach += more
-    return (low[valid] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return place_of(low[valid])
+
+
+def smallest_between(levels: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The smallest gram at first..last, all ones where there is none; level k has the smallest of
+    2**k neighbours."""
+    found = np.full(len(first), np.iinfo(np.uint64).max, dtype=np.uint64)
+    width = last - first + 1
+    for k, level in enumerate(levels):
+        now = np.flatnonzero((width >= 1 << k) & (width < 2 << k))
+        found[now] = np.minimum(level[first[now]], level[last[now] - (1 << k) + 1])
+    return found
+
+
+def split_rows(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """The neighbourhoods of crowded anchors, cut where the smallest gram before or after changes."""
+    data, offsets = joined_bytes(batch.column("bytes"))
+    valid, owner = starts_of(offsets, length)
+    sums = prefix_hash(data)
+    anchor = anchors(sums, valid, length)
+    levels = [ranked_grams(sums)]
+    while 1 << len(levels) <= length:
+        level, step = levels[-1], 1 << len(levels) - 1
+        levels.append(np.concatenate([np.minimum(level[:-step], level[step:]), level[len(level) - step :]]))
+    before = smallest_between(levels, valid, anchor - GRAM)
+    after = smallest_between(levels, anchor + GRAM, valid + length - GRAM)
+    key = batch.column("key").to_numpy().view(np.uint64)[owner]
+    for gram, side in ((before, 1), (after, 2)):
+        apart = np.where(gram == np.iinfo(np.uint64).max, 0, np.abs(place_of(gram) - anchor)).astype(np.uint64)
+        key = mixed(key ^ mixed((gram >> _PLACE) * np.uint64(4) + np.uint64(side)) ^ apart)
+    begin, end = runs(key ^ mixed(owner.astype(np.uint64)))
+    own, first, last = owner[begin], valid[begin], valid[end - 1]
+    base = batch.column("first").to_numpy()[own] - offsets[own]
+    whole = data.tobytes()
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(begin), ANCHOR, dtype=np.int32)),
+            pa.array(key[begin].view(np.int64)),
+            pa.array(mixed(between(sums, first, last + length) + (last - first).astype(np.uint64)).view(np.int64)),
+            batch.column("row").take(pa.array(own)),
+            batch.column("id").take(pa.array(own)),
+            pa.array((first + base).astype(np.int32)),
+            pa.array((last + base).astype(np.int32)),
+            pa.array([whole[f : l + length] for f, l in zip(first.tolist(), last.tolist())], pa.binary()),
+        ],
+        names=[field.split()[0] for field in SPLIT.split(", ")],
+    )
 
 
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,12 +213,12 @@ def shards(batch: pa.RecordBatch, length: int) -> Iterator[tuple[pa.RecordBatch,
 
 
 def shard_rows(part: pa.RecordBatch, length: int, base: int = 0) -> pa.RecordBatch:
-    """The documents, local repeats and anchors of one shard.
+    """The local repeats and anchors of one shard.
 
     With a ``base`` it is a later part of one document, which begins there.
     """
     data, offsets = joined_bytes(part.column("text"))
-    row, content = (part.column(c).to_numpy() for c in ("row", "content"))
+    row = part.column("row").to_numpy()
     known = part.column("id")
     id_ = known.fill_null(0).to_numpy()
     by_age = np.lexsort((row, id_, known.is_null().to_numpy(zero_copy_only=False)))
@@ -171,7 +231,6 @@ def shard_rows(part: pa.RecordBatch, length: int, base: int = 0) -> pa.RecordBat
     begin, end = runs(again * (len(row) + 1) + owner)
     local = again[begin]
     rows = [
-        pd.DataFrame({"kind": DOCUMENT, "key": mixed(row.astype(np.uint64)), "doc": np.arange(len(row))})[len(row) if base else 0 :],
         pd.DataFrame(
             {
                 "kind": REPEAT,
@@ -209,7 +268,6 @@ def shard_rows(part: pa.RecordBatch, length: int, base: int = 0) -> pa.RecordBat
             pa.array(every["near"].to_numpy().astype(np.uint64).view(np.int64)),
             pa.array(row[doc]),
             known.take(pa.array(doc)),
-            pa.array(content[doc]),
             pa.array(place[0].astype(np.int32)),
             pa.array(place[1].astype(np.int32)),
         ],
@@ -334,12 +392,6 @@ def crowded_repeats(cut: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _numbered(rows: DataFrame, order: Column) -> DataFrame:
-    """Rows with the same id and text are told apart by a number."""
-    alike = Window.partitionBy("id", "content").orderBy(order)
-    return rows.withColumn("copy", F.row_number().over(alike))
-
-
 def remove_repeats(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -355,51 +407,57 @@ def remove_repeats(
     character.
     """
     texts = docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.col(id_column).cast("long").alias("id"),
         whole_text(text_column).alias("text"),
-        F.xxhash64(whole_text(text_column)).alias("content"),
     )
+    rows = materialise(texts, "suffix-texts")  # a number each, that stays
 
     def sharded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, base in shards(batch, length):
                 yield shard_rows(part, length, base)
 
-    rows = texts.withColumn("row", F.monotonically_increasing_id())
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, "bytes", SHARD):
+                yield split_rows(part, length)
+
     age = [F.col("id").isNull(), F.col("id"), F.col("row"), F.col("first")]
-    found = materialise(
-        rows.mapInArrow(sharded, FOUND)
-        .repartition("key")
-        .sortWithinPartitions("key", "kind", "near", *age)
-        .mapInArrow(merged, FOUND),
-        "suffix-found",
-    )
-    everyone = _numbered(
-        found.filter(F.col("kind") == DOCUMENT).select("row", "id", "content"), F.col("row")
-    )
-    with_copy = _numbered(texts, F.lit(0))
-    variants = found.filter(F.col("kind") == ANCHOR).select("key", "row", "first", "last")
-    keys, n_keys = materialise_counted(
-        variants.groupBy("key").count().filter(F.col("count") > crowded).select("key"), "suffix-crowded"
+
+    def met(found: DataFrame, schema: str, name: str) -> DataFrame:
+        dealt = found.repartition("key").sortWithinPartitions("key", "kind", "near", *age)
+        return materialise(dealt.mapInArrow(merged, schema), name)
+
+    def crowded_apart(variants: DataFrame, name: str) -> tuple[DataFrame, bool]:
+        """``variants`` with ``many``, whether their key has too many of them; and whether one has."""
+        counts = variants.groupBy("key").count().filter(F.col("count") > crowded)
+        keys, n_keys = materialise_counted(counts.select(F.col("key").alias("crowded_key")), name)
+        if not n_keys:
+            return variants.withColumn("many", F.lit(False)), False
+        joined = variants.join(keys, F.col("key") == F.col("crowded_key"), "left")
+        return joined.withColumn("many", F.col("crowded_key").isNotNull()).drop("crowded_key"), True
+
+    def compared(variants: DataFrame) -> DataFrame:
+        dealt = variants.select("key", "row", "id", "first", "bytes").repartition("key")
+        dealt = dealt.sortWithinPartitions("key", *age)
+        return dealt.mapInArrow(lambda batches: compare_variants(batches, length), "row long, first int, last int")
+
+    def repeated(found: DataFrame) -> DataFrame:
+        return found.filter(F.col("kind") == REPEAT).select("row", "first", "last")
+
+    found = met(rows.mapInArrow(sharded, FOUND), FOUND, "suffix-found")
+    variants, some = crowded_apart(
+        found.filter(F.col("kind") == ANCHOR).select("key", "row", "first", "last"), "suffix-crowded"
     )
-    many = F.lit(False)
-    if n_keys:
-        variants = variants.join(keys.withColumn("found", F.lit(True)), "key", "left")
-        many = F.col("found").isNotNull()
     wanted = (
-        variants.select("row", F.struct("key", "first", "last", many.alias("many")).alias("place"))
-        .groupBy("row")
+        variants.select(F.col("row").alias("row_of"), F.struct("key", "first", "last", "many").alias("place"))
+        .groupBy("row_of")
         .agg(F.collect_list("place").alias("places"))
-        .join(everyone, "row")
     )
-    met = ["content", "copy"]
-    same = F.col("a.id").eqNullSafe(F.col("b.id"))
-    for column in met:
-        same = same & (F.col(f"a.{column}") == F.col(f"b.{column}"))
     cut = (
-        with_copy.alias("a")
-        .join(wanted.alias("b"), same)
-        .select(F.col("b.row").alias("row"), F.col("a.id").alias("id"), F.encode("a.text", "UTF-8").alias("text"), F.explode("b.places").alias("place"))
+        rows.join(wanted, F.col("row") == F.col("row_of"))
+        .select("row", "id", F.encode("text", "UTF-8").alias("text"), F.explode("places").alias("place"))
         .select(
             "place.key",
             "place.many",
@@ -411,24 +469,19 @@ def remove_repeats(
             ).alias("bytes"),
         )
     )
-    if n_keys:
+    if some:
         cut = materialise(cut, "suffix-variants")
-    compared = (
-        cut.filter(~F.col("many"))
-        .drop("many")
-        .repartition("key")
-        .sortWithinPartitions("key", *age)
-        .mapInArrow(lambda batches: compare_variants(batches, length), "row long, first int, last int")
-    )
-    again = found.filter(F.col("kind") == REPEAT).select("row", "first", "last").unionByName(compared)
-    if n_keys:
-        again = again.unionByName(crowded_repeats(cut.filter("many"), length))
-    marks = again.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("marks"))
-    marked = everyone.join(marks, "row", "left").select("id", "content", "copy", "marks")
+    again = repeated(found).unionByName(compared(cut.filter(~F.col("many"))))
+    if some:
+        parts = met(cut.filter("many").mapInArrow(split, SPLIT), SPLIT, "suffix-split")
+        left, more = crowded_apart(parts.filter(F.col("kind") == ANCHOR), "suffix-still-crowded")
+        again = again.unionByName(repeated(parts)).unionByName(compared(left.filter(~F.col("many"))))
+        if more:
+            again = again.unionByName(crowded_repeats(left.filter("many"), length))
+    marks = again.groupBy(F.col("row").alias("row_of")).agg(F.collect_list(F.struct("first", "last")).alias("marks"))
     return (
-        with_copy.alias("a")
-        .join(marked.alias("b"), same)
-        .select("a.id", "a.text", "b.marks")
+        rows.join(marks, F.col("row") == F.col("row_of"), "left")
+        .select("id", "text", "marks")
         .mapInArrow(lambda batches: _without(batches, length), KEPT)
     )
 
