@@ -108,7 +108,8 @@ countries AS (
          CAST(NULL AS DOUBLE) AS population_density, CAST(NULL AS DOUBLE) AS median_age
   FROM (SELECT DISTINCT country, region, population FROM panel) JOIN regions ON region = region_name),
 numbered AS (
-  SELECT row_number() OVER (ORDER BY country, date) AS record_id, c.country_id AS cid, f.*
+  SELECT c.country_id::BIGINT * 4194304 + date_diff('day', DATE '0001-01-01', date) AS record_id,
+         c.country_id AS cid, f.*
   FROM features f JOIN countries c ON country = country_name),
 daily AS (
   SELECT record_id, cid AS country_id, date, new_cases, total_cases, new_deaths, total_deaths,

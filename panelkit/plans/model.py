@@ -1,8 +1,11 @@
 """Dimensional model: regions, entities, entity statistics, two daily facts, metadata.
 
-Ids follow the (country, date) order of the feature panel and come from bucketed positions,
-so neither the entities nor the facts pass through one task. Joins carry no broadcast hint:
-Spark broadcasts a dimension when its measured size allows and sort-merges it otherwise.
+Ids of entities follow their names and come from bucketed positions, so they do not pass through one
+task. The id of a fact row is made of its entity id and its day: it follows the (country, date)
+order and needs no sort. Stored facts have a folder per year; a filter on ``year`` (see
+``in_period``), or a join with a filtered calendar, reads the folders it needs. Joins carry no
+broadcast hint: Spark broadcasts a dimension when its measured size allows and sort-merges it
+otherwise.
 """
 
 from __future__ import annotations
@@ -13,10 +16,11 @@ from dataclasses import dataclass, fields, replace
 from typing import Any
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.operators.ranking import number_rows, running_positions
+from panelkit.operators.latest import picked_rows
+from panelkit.operators.ranking import number_rows
 from panelkit.session import materialise, new_path
 
 # Table names that SQL text refers to.
@@ -58,6 +62,10 @@ STATISTICS = (
 )
 
 
+#: Room for the days of an entity in the ids of fact rows: more than four-digit years have.
+DAYS = 1 << 22
+
+
 @dataclass(frozen=True)
 class Model:
     regions: DataFrame
@@ -153,12 +161,10 @@ def _first_rows(panel: DataFrame) -> DataFrame:
     ]
     name = F.col(region) if region else F.lit("Global")
     attributes.append(name.cast("string").alias("_region"))
-    return (
-        panel.where(F.col(entity).isNotNull())
-        .groupBy(F.col(entity).alias("country_name"))
-        .agg(F.min_by(F.struct(*attributes), F.col("date")).alias("_first"))
-        .select("country_name", "_first.*")
+    rows = panel.where(F.col(entity).isNotNull()).select(
+        F.col(entity).alias("country_name"), F.col("date").cast("date").alias("_date"), *attributes
     )
+    return picked_rows(rows, ["country_name"], "_date", last=False).drop("_date")
 
 
 def _numbered_entities(panel: DataFrame) -> DataFrame:
@@ -196,43 +202,57 @@ def _measure(rows: DataFrame, source: str, target: str) -> Column:
     return value.cast("double").alias(target)
 
 
-def _numbered_rows(panel: DataFrame, countries: DataFrame) -> DataFrame:
-    """Panel rows with entity id and a record id in (country, date) order."""
+def fact_id(country_id: Column, date: Column) -> Column:
+    """Id of the fact row of an entity and a day, in the order of both."""
+    day = F.datediff(date, F.lit("0001-01-01").cast("date"))
+    return country_id.cast("long") * DAYS + day
+
+
+def _identified_rows(panel: DataFrame, countries: DataFrame) -> DataFrame:
+    """Panel rows with entity id, record id and year."""
     entity = _entity_column(panel)
-    own_ids = ("country_id", "country_name", "record_id")
-    days = panel.drop(*own_ids).where(F.col("date").isNotNull())
-    sizes = days.groupBy(entity).agg(F.count(F.lit(1)).alias("_rows"))
-    named = sizes.join(
-        countries.select("country_id", "country_name"), F.col(entity) == F.col("country_name")
-    )
-    starts = running_positions(named, "country_id", "_rows").select(
-        "country_id", F.col("before").alias("_start"), entity
-    )
-    in_entity = Window.partitionBy(entity).orderBy("date")  # same key as the join
-    return days.join(starts, entity).withColumn(
-        "record_id", (F.col("_start") + F.row_number().over(in_entity)).cast("long")
+    own = ("country_id", "country_name", "record_id", "year")
+    days = panel.drop(*own).where(F.col("date").isNotNull())
+    names = countries.select("country_id", "country_name")
+    date = F.col("date").cast("date")
+    return days.join(names, F.col(entity) == F.col("country_name")).withColumns(
+        {"record_id": fact_id(F.col("country_id"), date), "year": F.year(date)}
     )
 
 
-def _fact(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+def _fact(rows: DataFrame, columns: Mapping[str, str], *more: str) -> DataFrame:
     return rows.select(
         "record_id",
         "country_id",
         F.col("date").cast("date").alias("date"),
         *[_measure(rows, source, target) for target, source in columns.items()],
+        *more,
     )
 
 
+def in_period(fact: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows of a stored fact from ``start`` to ``end``, both included; only folders of these years
+    are read."""
+    for bound, inside, year in (
+        (start, lambda day: F.col("date") >= day, lambda y: F.col("year") >= y),
+        (end, lambda day: F.col("date") <= day, lambda y: F.col("year") <= y),
+    ):
+        if bound is not None:
+            day = F.lit(bound).cast("date")
+            fact = fact.where(inside(day) & year(F.year(day)))
+    return fact
+
+
 def build_daily_fact(panel: DataFrame, countries: DataFrame | None = None) -> DataFrame:
     """Daily flows, counters, rates and rolling means per entity id. Nulls stay null."""
     countries = build_entities(panel) if countries is None else countries
-    return _fact(_numbered_rows(panel, countries), DAILY_COLUMNS)
+    return _fact(_identified_rows(panel, countries), DAILY_COLUMNS)
 
 
 def build_vaccination_fact(panel: DataFrame, countries: DataFrame | None = None) -> DataFrame:
     """Daily doses, people covered and coverage rates per entity id. Nulls stay null."""
     countries = build_entities(panel) if countries is None else countries
-    return _fact(_numbered_rows(panel, countries), VACCINATION_COLUMNS)
+    return _fact(_identified_rows(panel, countries), VACCINATION_COLUMNS)
 
 
 def build_metadata(spark: SparkSession, **values: str) -> DataFrame:
@@ -247,19 +267,21 @@ def build_metadata(spark: SparkSession, **values: str) -> DataFrame:
 def build_all(panel: DataFrame, metadata: Mapping[str, str] | None = None) -> Model:
     """The whole model from a feature panel.
 
-    Dimensions and numbered fact rows are stored once; the two facts are projections of the
-    same stored rows, so the ids and the join are computed once and scans stay column-pruned.
+    Dimensions and fact rows are stored once, these with a folder per year; the two facts are
+    projections of the same stored rows, so the join is computed once and scans stay column-pruned.
     """
     regions = materialise(build_regions(panel), "regions")
     numbered = materialise(_numbered_entities(panel), "entities")
     countries = materialise(_with_region_id(numbered, regions), "countries")
-    rows = materialise(_numbered_rows(panel, countries), "facts")
+    rows = _identified_rows(panel, countries)
+    sources = [c for c in (*DAILY_COLUMNS.values(), *VACCINATION_COLUMNS.values()) if c in rows.columns]
+    rows = materialise(rows.select("record_id", "country_id", "date", *sources, "year"), "facts", ["year"])
     model = Model(
         regions,
         countries,
         numbered.select("country_id", "population", *STATISTICS),
-        _fact(rows, DAILY_COLUMNS),
-        _fact(rows, VACCINATION_COLUMNS),
+        _fact(rows, DAILY_COLUMNS, "year"),
+        _fact(rows, VACCINATION_COLUMNS, "year"),
     )
     if metadata is None:
         return model

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/panelkit/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet to the shared folder and return a scan of it."""
+def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and return a scan of it.
+
+    With ``partition_by`` each value of these columns has a folder of its own, which readers can
+    leave out. Rows are dealt by these columns first, so that a folder gets few files; Spark
+    divides large values among tasks and merges small ones.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    if partition_by:
+        dealt = df.hint("rebalance", *partition_by)
+        dealt.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.operators import cleaning, explore, features, latest, quality, stats
-from panelkit.plans import binding, suite
+from panelkit.plans import binding, model, suite
 from panelkit.plans.model import VIEW_NAMES, run_query, run_sql_suite
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -142,3 +142,27 @@ def test_views_take_common_sql(spark):
     assert 0 < spans.agg(F.max("days")).first()[0] <= expected
     assert {r["size"]: r["place"] for r in sizes.collect()} == {"large": 1, "small": 2}
     assert run_query(spark, "SELECT julianday(DATE '2000-01-01') AS j").first()["j"] == 2451544.5
+
+
+def test_stored_facts_are_pruned_by_year(spark):
+    m = binding.shared_model(spark, SF_DIR)
+    one_year = model.in_period(m.daily, "1996-03-01", "1996-12-31").select("country_id", "new_cases")
+    text = plan(one_year)
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
+    assert "year" in filters and "1996" in filters
+    assert one_year.count() == m.daily.where("date BETWEEN '1996-03-01' AND '1996-12-31'").count()
+    assert model.in_period(m.daily).count() == m.daily.count()
+    # a join with a filtered calendar prunes at run time
+    calendar = binding.table(spark, SF_DIR, "orders").select(F.year("o_orderdate").alias("year"), "o_orderkey")
+    chosen = m.daily.join(calendar.where("o_orderkey < 5").distinct(), "year")
+    assert "dynamicpruning" in chosen._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_facts_need_no_window_and_dimensions_no_sort_aggregate(spark):
+    panel = binding.shared_features(spark, SF_DIR)
+    m = binding.shared_model(spark, SF_DIR)
+    for fact in (model.build_daily_fact(panel, m.countries), model.build_vaccination_fact(panel, m.countries)):
+        assert "Window" not in plan(fact) and "Sort [" not in plan(fact)
+    assert "SortAggregate" not in plan(model._first_rows(panel))
+    gappy = binding.gappy_panel(spark, SF_DIR)
+    assert "SortAggregate" not in plan(explore.latest_per_entity(gappy, [*explore.SNAPSHOT, "region"]))
