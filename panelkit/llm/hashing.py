@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
-STEP = 4 << 20  # bytes of text looked at together
+STEP = 1 << 20  # bytes of text looked at together
 _RANDOM = np.random.default_rng(7)
 VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 MIXERS = _RANDOM.integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
