@@ -165,4 +165,26 @@ def test_facts_need_no_window_and_dimensions_no_sort_aggregate(spark):
         assert "Window" not in plan(fact) and "Sort [" not in plan(fact)
     assert "SortAggregate" not in plan(model._first_rows(panel))
     gappy = binding.gappy_panel(spark, SF_DIR)
-    assert "SortAggregate" not in plan(explore.latest_per_entity(gappy, [*explore.SNAPSHOT, "region"]))
+    text_too = [c for c in (*explore.SNAPSHOT, "people_vaccinated", "region") if c in gappy.columns]
+    assert "SortAggregate" not in plan(explore.latest_per_entity(gappy, list(dict.fromkeys(text_too))))
+
+
+def test_both_duplicate_gates_share_one_scan(spark):
+    panel = binding.shared_panel(spark, SF_DIR)
+    text = plan(quality.duplicate_metrics(panel, ["country", "date"]))
+    assert text.count("FileScan") == 1 and "SortAggregate" not in text
+    assert text.count("Exchange hashpartitioning") == 3, "rows once; counts by key, then by entity"
+
+
+def test_report_takes_metrics_observed_before(spark):
+    from pyspark.sql import Observation
+
+    from panelkit.session import materialise
+
+    panel = binding.gappy_panel(spark, SF_DIR)
+    watch = Observation()
+    stored = materialise(panel.observe(watch, *quality.report_metrics(panel).columns), "observed")
+    given = quality.quality_report(stored, observed=watch.get)
+    own = quality.quality_report(stored)
+    for name in ("checks", "column_nulls", "summary"):
+        assert getattr(given, name).collect() == getattr(own, name).collect()
