@@ -763,6 +763,10 @@ def charts() -> dict[str, str]:
           FROM features WHERE country IN ({names(NATIONS)})""",
         "f12_chart_region_trend": f"""WITH {PANEL}, wide AS (
             SELECT date, {by_region} FROM panel GROUP BY date) SELECT date, {smoothed} FROM wide""",
+        "f12_region_trend_rows": f"""WITH {PANEL}, wide AS (
+            SELECT date, {by_region} FROM panel GROUP BY date), trend AS (SELECT date, {smoothed} FROM wide)
+          SELECT date, region, value
+          FROM trend UNPIVOT INCLUDE NULLS (value FOR region IN (COLUMNS(* EXCLUDE (date))))""",
         "f13_chart_vax_vs_cases": f"""WITH {FEATURES} SELECT country,
           max(fully_vaccinated_rate) AS fully_vaccinated_rate, max(cases_per_100k) AS cases_per_100k,
           max(population) AS population, arg_min(region, date) AS region

@@ -114,8 +114,8 @@ def region_trend(
 ) -> DataFrame:
     """Date x region sums with gaps as 0, then the full trailing mean per region column.
 
-    Without ``regions`` Spark finds the distinct values itself and refuses more than
-    ``spark.sql.pivotMaxValues``.
+    Without ``regions`` Spark finds the distinct values itself, in a job of its own, and refuses more
+    than ``spark.sql.pivotMaxValues``; ``region_trend_rows`` needs neither.
     """
     known = df.where((F.col("region").isNotNull()) & (F.trim("region") != ""))
     grouped = _per(known, "date")
@@ -125,6 +125,24 @@ def region_trend(
     return wide.select("date", *[_full_mean(f"`{c}`", width).alias(c) for c in names])
 
 
+def on_grid(sums: DataFrame, by: str, label: str, value: str) -> DataFrame:
+    """Rows (``by``, label, value) for each pair of a value of ``by`` and a label that ``sums`` has; 0
+    where a pair is missing. The labels travel as one row, so there must be few of them."""
+    labels = sums.agg(F.array_sort(F.collect_set(label)).alias("_labels"))
+    grid = sums.select(by).distinct().crossJoin(F.broadcast(labels))  # one row
+    grid = grid.select(by, F.explode("_labels").alias(label))
+    return grid.join(sums, [by, label], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+
+
+def region_trend_rows(df: DataFrame, metric: str = "new_cases", width: int = 14) -> DataFrame:
+    """Long form of ``region_trend`` for all regions: (date, region, value)."""
+    known = df.where(F.col("region").isNotNull() & (F.trim("region") != "") & F.col("date").isNotNull())
+    sums = known.groupBy("date", "region").agg(F.sum(metric).cast("double").alias("value"))
+    rows = Window.partitionBy("region").orderBy("date").rowsBetween(-(width - 1), Window.currentRow)
+    mean = F.when(F.count("value").over(rows) == width, F.avg("value").over(rows))
+    return on_grid(sums, "date", "region", "value").withColumn("value", mean)
+
+
 def coverage_vs_cases(df: DataFrame, min_population: int = 2_000_000) -> DataFrame:
     """Per entity: highest coverage, cases per 100k and population, first region. Complete rows."""
     return (
@@ -213,6 +231,17 @@ def month_heatmap(
     return wide.select("country", *[(F.col(f"`{c}`") / 1e6).alias(c) for c in names])
 
 
+def month_heatmap_rows(
+    df: DataFrame, metric: str = "new_cases", counter: str = "total_cases", n: int = 15
+) -> DataFrame:
+    """Entity x month sums in millions for the top ``n`` entities as rows (country, month, millions),
+    gaps 0."""
+    dated = df.where(F.col("date").isNotNull())
+    monthly = _rows_of_top(dated, counter, n).withColumn("month", month_of("date"))
+    sums = monthly.groupBy("month", "country").agg((F.sum(metric) / 1e6).alias("millions"))
+    return on_grid(sums, "month", "country", "millions").select("country", "month", "millions")
+
+
 def heatmap_rows(wide: DataFrame) -> DataFrame:
     """Long form of ``month_heatmap``: (country, month, millions)."""
     months = [f"`{c}`" for c in wide.columns if c != "country"]
@@ -220,7 +249,9 @@ def heatmap_rows(wide: DataFrame) -> DataFrame:
 
 
 def all_charts(df: DataFrame) -> dict[str, DataFrame]:
-    """The data set of every standard figure with its default parameters."""
+    """The data set of every standard figure with its default parameters, and those of the lines in
+    figures 14 and 17."""
+    fatality = coverage_vs_fatality(df)
     return {
         "01_global_daily_cases": daily_total(df),
         "02_global_daily_deaths": daily_total(df, "new_deaths"),
@@ -233,11 +264,13 @@ def all_charts(df: DataFrame) -> dict[str, DataFrame]:
         "09_cases_per_100k": per_capita_leaders(df),
         "10_deaths_per_100k": per_capita_leaders(df, "deaths_per_100k"),
         "11_country_comparisons": entity_comparison(df),
-        "12_regional_trends": region_trend(df),
+        "12_regional_trends": region_trend_rows(df),
         "13_vaccination_vs_cases": coverage_vs_cases(df),
-        "14_vaccination_vs_deaths": coverage_vs_fatality(df),
+        "14_vaccination_vs_deaths": fatality,
+        "14_vaccination_vs_deaths_line": straight_line(fatality, "fully_vaccinated_rate", "case_fatality_rate"),
         "15_monthly_cases": monthly_total(df),
         "16_monthly_deaths": monthly_total(df, "new_deaths"),
         "17_pandemic_waves": wave_timeline(df),
+        "17_pandemic_waves_smoothed": smoothed_total(df),
         "18_cases_heatmap": month_heatmap(df),
     }

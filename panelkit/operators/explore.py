@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date as Date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions import round_even
@@ -141,19 +141,27 @@ def leaderboards(
     latest: DataFrame, k: int = 10, min_cases: float = 50_000, min_population: int = 500_000
 ) -> DataFrame:
     """The four standard boards as rows (board, country, value)."""
-    boards = (
-        ("total_cases", {}),
-        ("case_fatality_rate", {"min_cases": min_cases}),
-        ("cases_per_100k", {"min_population": min_population}),
-        ("deaths_per_100k", {"min_population": min_population}),
+    large = F.col("population") >= min_population
+    boards = {
+        "total_cases": F.lit(True),
+        "case_fatality_rate": F.col("total_cases") >= min_cases,
+        "cases_per_100k": large,
+        "deaths_per_100k": large,
+    }
+    entries = F.array(
+        *[
+            F.when(takes_part, F.struct(F.lit(by).alias("board"), F.col(by).cast("double").alias("value")))
+            for by, takes_part in boards.items()
+        ]
+    )
+    # the snapshot is computed once; the limit on the rank is applied before the shuffle
+    ranked = Window.partitionBy("board").orderBy(F.desc_nulls_last("value"), "country")
+    return (
+        latest.select("country", F.inline(F.filter(entries, lambda e: e.isNotNull())))
+        .withColumn("_place", F.row_number().over(ranked))
+        .where(F.col("_place") <= k)
+        .select("board", "country", "value")
     )
-    result = None
-    for by, limits in boards:
-        board = leaderboard(latest, by, k, **limits).select(
-            F.lit(by).alias("board"), "country", F.col(by).alias("value")
-        )
-        result = board if result is None else result.union(board)
-    return result
 
 
 def coverage_scatter(
@@ -181,20 +189,28 @@ def explorer_tail(df: DataFrame, rows: int = 500) -> DataFrame:
 def insights(daily: DataFrame, latest: DataFrame, min_cases: float = 50_000) -> DataFrame:
     """Up to three sentences (topic, text) about the filtered panel."""
 
-    def peak(metric: str, topic: str) -> DataFrame:
+    topics = {"cases": "new_cases", "deaths": "new_deaths"}
+
+    def best(metric: str) -> Column:
         # of equal peaks the earliest day
-        best = F.max_by(
+        return F.max_by(
             F.struct("date", F.col(metric).alias("value")),
             F.struct(F.col(metric), -F.unix_date("date")),
         )
-        return daily.agg(best.alias("p")).where("p is not null").select(
-            F.lit(topic).alias("topic"),
-            F.format_string(
-                f"Highest daily {topic}: %,d on %s",
-                F.col("p.value").cast("long"),
-                F.date_format("p.date", "MMMM dd, yyyy"),
-            ).alias("text"),
+
+    def sentence(topic: str) -> Column:
+        peak = F.col(topic)
+        text = F.format_string(
+            f"Highest daily {topic}: %,d on %s",
+            peak["value"].cast("long"),
+            F.date_format(peak["date"], "MMMM dd, yyyy"),
         )
+        return F.when(peak.isNotNull(), F.struct(F.lit(topic).alias("topic"), text.alias("text")))
+
+    # both peaks from one pass over the days
+    peaks = daily.agg(*[best(metric).alias(topic) for topic, metric in topics.items()]).select(
+        F.inline(F.filter(F.array(*map(sentence, topics)), lambda s: s.isNotNull()))
+    )
 
     leader = top_k(
         latest.where(F.col("total_cases") >= min_cases), "case_fatality_rate", 1, ["country"]
@@ -208,5 +224,5 @@ def insights(daily: DataFrame, latest: DataFrame, min_cases: float = 50_000) ->
             F.col("total_cases").cast("long"),
         ).alias("text"),
     )
-    return peak("new_cases", "cases").union(peak("new_deaths", "deaths")).union(leader)
+    return peaks.union(leader)
 

@@ -587,6 +587,7 @@ def queries() -> dict[str, Query]:
         "f10_chart_deaths_100k": on_features(charts.per_capita_leaders, rate="deaths_per_100k"),
         "f11_chart_compare": on_features(charts.entity_comparison, entities=NATIONS),
         "f12_chart_region_trend": on_features(charts.region_trend, regions=REGIONS),
+        "f12_region_trend_rows": on_features(charts.region_trend_rows),
         "f13_chart_vax_vs_cases": on_features(charts.coverage_vs_cases),
         "f14_chart_vax_vs_cfr": with_min_cases(charts.coverage_vs_fatality),
         "f14_straight_line": lambda spark, sf: charts.straight_line(
@@ -598,9 +599,7 @@ def queries() -> dict[str, Query]:
         "f16_chart_monthly_deaths": on_features(charts.monthly_total, metric="new_deaths"),
         "f17_chart_waves": on_features(charts.wave_timeline),
         "f17_smoothed_total": on_features(charts.smoothed_total),
-        "f18_chart_month_heatmap": lambda spark, sf: charts.heatmap_rows(
-            charts.month_heatmap(_features(spark, sf))
-        ),
+        "f18_chart_month_heatmap": on_features(charts.month_heatmap_rows),
         "d1_filter_panel": d1_filter_panel,
         "d1_choices": on_features(explore.choices),
         "d2_latest_per_entity": d2_latest_per_entity,

@@ -535,7 +535,7 @@ def region_stress(m: Model) -> DataFrame:
     )
 
 
-# Every query under its file and place in the SQL suite.
+# Every query under its file and place in the SQL suite, and the two summary queries.
 QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "data_quality_1": duplicate_keys,
     "data_quality_2": negative_flows,
@@ -562,6 +562,8 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "advanced_15": month_over_month,
     "advanced_waves": wave_windows,
     "advanced_day_zero": day_zero,
+    "summary_totals": global_totals,
+    "summary_regions": region_stress,
 }
 
 

@@ -67,11 +67,15 @@ def audit_source(
     source: str,
     audit_path: str,
     notes: Mapping[str, str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Append a record of data that is stored at ``path`` already and was read as ``df``."""
-    return _append_record(
-        df.sparkSession, df.columns, df.count(), path, source, audit_path, notes
-    )
+    """Append a record of data that is stored at ``path`` already and was read as ``df``.
+
+    ``rows`` is their number where it is known, for instance observed by the job that used the data;
+    otherwise the data is read again to count it.
+    """
+    rows = df.count() if rows is None else rows
+    return _append_record(df.sparkSession, df.columns, rows, path, source, audit_path, notes)
 
 
 def latest_audit(spark: SparkSession, audit_path: str) -> DataFrame:

@@ -52,17 +52,22 @@ def test_run(spark, feed, tmp_path):
     assert first["data_curator"] == "tests"
     assert {r["country_name"] for r in done.model.countries.collect()} == {"India", "United States"}
     results = {name: df.collect() for name, df in done.suite.items()}
-    assert len(results) == 25
+    assert len(results) == 27
     assert [r["country_name"] for r in results["country_3"]] == ["India", "United States"]
     assert results["country_13"][0]["case_per_capita_rank"] == 1
     assert {r["country_name"] for r in results["advanced_day_zero"]} == {"India", "United States"}
     assert results["vaccination_16"][0]["monthly_fully_vax_growth"] == 1_200_000.0
     charts = {name: df.collect() for name, df in done.charts.items()}
-    assert len(charts) == 18 and len(charts["01_global_daily_cases"]) == 70
+    assert len(charts) == 20 and len(charts["17_pandemic_waves_smoothed"]) == 70
+    assert {r["region"] for r in charts["12_regional_trends"]} == {"Asia", "North America"}
+    assert len(charts["01_global_daily_cases"]) == 70
     assert charts["18_cases_heatmap"][0]["2021-02"] == 0.056
 
 
 def test_stop_on_fail(spark, feed, tmp_path, monkeypatch):
-    monkeypatch.setattr(run.quality, "duplicate_keys", lambda df, keys: df.selectExpr("1L AS surplus").limit(1))
+    whole = run.quality.duplicate_metrics
+    monkeypatch.setattr(
+        run.quality, "duplicate_metrics", lambda df, keys: whole(df, keys).selectExpr("*", "1L AS d").drop("duplicate_key").withColumnRenamed("d", "duplicate_key")
+    )
     with pytest.raises(run.QualityFailure, match="Duplicate"):
         run.run_all(spark, feed, str(tmp_path / "out"), SCHEMA, min_entities=2, stop_on_fail=True)
