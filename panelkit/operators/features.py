@@ -10,6 +10,7 @@ from pyspark.sql.window import WindowSpec
 
 from panelkit.functions import coverage_pct, per_capita, ratio_pct, round_even
 from panelkit.operators.cleaning import FLOW_COLUMNS, present
+from panelkit.operators.segments import windowed
 
 WINDOWS = (7, 14, 30)
 GROWTH_LAGS = {"daily_growth_rate": 1, "weekly_growth_rate": 7, "monthly_growth_rate": 30}
@@ -20,7 +21,10 @@ def trailing(entity: str | None, date: str, width: int, by: str = "rows") -> Win
 
     ``entity=None`` is for series with one row per calendar day only.
     """
-    base = Window.partitionBy(entity) if entity else Window.partitionBy()
+    return _trailing(Window.partitionBy(entity) if entity else Window.partitionBy(), date, width, by)
+
+
+def _trailing(base: WindowSpec, date: str, width: int, by: str) -> WindowSpec:
     if by == "rows":
         return base.orderBy(date).rowsBetween(-(width - 1), Window.currentRow)
     if by == "days":
@@ -57,20 +61,26 @@ def rolling_mean(
     targets: Sequence[str] | None = None,
     windows: Sequence[int] = WINDOWS,
     by: str = "rows",
+    segment: int | None = None,
 ) -> DataFrame:
     """Trailing mean per entity, from the first row on, nulls skipped, two decimals.
 
     Every target and width shares one shuffle and one sort. The panel is unique by
-    (entity, date), so one task sorts at most one row per calendar day of an entity.
+    (entity, date), so one task sorts at most one row per calendar day of an entity. Where that is
+    too much, ``segment`` divides entities into runs of so many rows (or days), see ``segments``.
     """
     targets = present(df, FLOW_COLUMNS) if targets is None else targets
-    return df.withColumns(
-        {
-            rolling_name(t, w): round_even(F.avg(t).over(trailing(entity, date, w, by)), 2)
+
+    def means(base: WindowSpec) -> dict[str, Column]:
+        return {
+            rolling_name(t, w): round_even(F.avg(t).over(_trailing(base, date, w, by)), 2)
             for t in targets
             for w in windows
         }
-    )
+
+    if segment is not None and windows and targets:
+        return windowed(df, entity, date, segment, max(windows) - 1, means, by)
+    return df.withColumns(means(Window.partitionBy(entity)))
 
 
 def growth_rates(
@@ -80,20 +90,26 @@ def growth_rates(
     metric: str = "7_day_cases_avg",
     fallback: str = "new_cases",
     lags: Mapping[str, int] = GROWTH_LAGS,
+    segment: int | None = None,
 ) -> DataFrame:
-    """Percent change against the row 1, 7 and 30 rows back; 0 without a usable base."""
+    """Percent change against the row 1, 7 and 30 rows back; 0 without a usable base. ``segment`` as
+    in ``rolling_mean``."""
     if metric not in df.columns:
         if fallback not in df.columns:
             return df
         metric = fallback
-    days = Window.partitionBy(entity).orderBy(date)
 
-    def growth(rows: int) -> Column:
-        base = F.lag(metric, rows).over(days)
-        change = F.when(base != 0, F.try_divide(F.col(metric), base) - 1)
+    def growth(base: WindowSpec, rows: int) -> Column:
+        earlier = F.lag(metric, rows).over(base.orderBy(date))
+        change = F.when(earlier != 0, F.try_divide(F.col(metric), earlier) - 1)
         return round_even(F.coalesce(change, F.lit(0.0)) * 100.0, 2)
 
-    return df.withColumns({name: growth(rows) for name, rows in lags.items()})
+    def rates(base: WindowSpec) -> dict[str, Column]:
+        return {name: growth(base, rows) for name, rows in lags.items()}
+
+    if segment is not None and lags:
+        return windowed(df, entity, date, segment, max(lags.values()), rates)
+    return df.withColumns(rates(Window.partitionBy(entity)))
 
 
 def feature_panel(
@@ -101,13 +117,21 @@ def feature_panel(
     entity: str = "country",
     date: str = "date",
     provenance: Mapping[str, str] | None = None,
+    segment: int | None = None,
 ) -> DataFrame:
-    """Rates, rolling means, growth, and constant provenance columns, as one lazy plan."""
+    """Rates, rolling means, growth, and constant provenance columns, as one lazy plan.
+
+    ``segment`` divides entities that are too large for one task, see ``rolling_mean``.
+    """
     featured = (
         df.transform(add_rates)
         .transform(
-            rolling_mean, entity=entity, date=date, targets=present(df, ("new_cases", "new_deaths"))
+            rolling_mean,
+            entity=entity,
+            date=date,
+            targets=present(df, ("new_cases", "new_deaths")),
+            segment=segment,
         )
-        .transform(growth_rates, entity=entity, date=date)
+        .transform(growth_rates, entity=entity, date=date, segment=segment)
     )
     return featured.withColumns({k: F.lit(v) for k, v in (provenance or {}).items()})
