@@ -94,28 +94,45 @@ def number_rows(df: DataFrame, key: str, out: str) -> DataFrame:
     return placed.withColumn(out, (F.col("position") + 1).cast("int")).drop("position", "before")
 
 
-def global_ranks(df: DataFrame, ranks: Mapping[str, tuple[str, str]]) -> DataFrame:
+def global_ranks(
+    df: DataFrame, ranks: Mapping[str, tuple[str, str]], key: str | None = None
+) -> DataFrame:
     """Add descending ranks over all rows; ``ranks`` maps output -> (column, "dense" | "min").
 
-    ``df`` is stored first. The distinct values are ranked, and the ranks joined back on the
-    value; Spark divides the rows of frequent values among tasks.
+    All columns are ranked in one table of (column, value): its distinct values are dealt by range
+    once, and each row gets all of its ranks back together. Spark divides the rows of frequent
+    values among tasks. ``key`` names a column that tells the rows apart and has no nulls; without
+    one ``df`` is stored first, with a number for each row.
     """
-    df = materialise(df, "ranked")
-    placed = {}
+    names = df.columns
+    if key is None:
+        key = "_row"
+        df = materialise(df.withColumn(key, F.monotonically_increasing_id()), "ranked")
+    by_type: dict[str, list[str]] = {}
     for column in dict.fromkeys(column for column, _ in ranks.values()):
-        counts = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
-        placed[column] = running_positions(counts, "_value", "_count", descending=True)
-    for column, positions in placed.items():
-        wanted = [(out, method) for out, (c, method) in ranks.items() if c == column]
-        values = positions.select(
-            "_value",
-            *[
-                (F.col("position" if method == "dense" else "before") + 1).cast("int").alias(out)
-                for out, method in wanted
-            ],
+        by_type.setdefault(df.schema[column].dataType.simpleString(), []).append(column)
+    result = df
+    for columns in by_type.values():  # values of one type fit into one column
+        entries = df.select(
+            F.col(key).alias("_of"),
+            F.inline(F.array(*[F.struct(F.lit(c).alias("_label"), F.col(c).alias("_value")) for c in columns])),
+        )
+        counts = entries.groupBy("_label", "_value").agg(F.count(F.lit(1)).alias("_count"))
+        placed = running_positions(counts, "_value", "_count", descending=True, by="_label")
+        placed = placed.select(
+            F.col("_label").alias("_ranked"), F.col("_value").alias("_at"), "position", "before"
+        )
+        same = (F.col("_label") == F.col("_ranked")) & F.col("_value").eqNullSafe(F.col("_at"))
+
+        def rank(column: str, method: str):
+            place = F.col("position" if method == "dense" else "before") + 1
+            return F.max(F.when(F.col("_label") == column, place)).cast("int")
+
+        found = entries.join(placed, same).groupBy("_of").agg(
+            *[rank(c, method).alias(out) for out, (c, method) in ranks.items() if c in columns]
         )
-        df = df.join(values, F.col(column).eqNullSafe(F.col("_value")), "left").drop("_value")
-    return df
+        result = result.join(found, F.col(key) == F.col("_of")).drop("_of")
+    return result.select(*names, *ranks)
 
 
 def value_counts(values: DataFrame, column: str, by: str) -> DataFrame:

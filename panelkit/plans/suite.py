@@ -260,7 +260,7 @@ def burden_rank(m: Model, min_population: int = 1_000_000, k: int = 30) -> DataF
         _latest(m)
         .join(m.countries, "country_id")
         .where(F.col("population") >= min_population)
-        .select("country_name", "total_cases", "total_deaths", "population")
+        .select("country_id", "country_name", "total_cases", "total_deaths", "population")
         .withColumns(per_head)
     )
     ranked = global_ranks(
@@ -271,9 +271,10 @@ def burden_rank(m: Model, min_population: int = 1_000_000, k: int = 30) -> DataF
             "case_per_capita_rank": ("_cases", "dense"),
             "death_per_capita_rank": ("_deaths", "dense"),
         },
+        key="country_id",
     )
     first = top_k(ranked, "case_rank", k, ["country_name"], ascending=True)
-    return first.drop("population", "_cases", "_deaths")
+    return first.drop("country_id", "population", "_cases", "_deaths")
 
 
 def region_rank(m: Model) -> DataFrame:
@@ -299,7 +300,7 @@ def region_rank(m: Model) -> DataFrame:
         "regional_case_rank": ("total_regional_cases", "min"),
         "regional_death_rank": ("total_regional_deaths", "min"),
     }
-    return global_ranks(rated, ranks).orderBy(F.desc("total_regional_cases"), "region")
+    return global_ranks(rated, ranks, key="region").orderBy(F.desc("total_regional_cases"), "region")
 
 
 # --- vaccination -----------------------------------------------------------------------
