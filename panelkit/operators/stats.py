@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
@@ -47,7 +48,7 @@ def describe_plus(
     percentiles, extremes, population skewness and excess kurtosis, two decimals. Columns
     without any value are left out.
 
-    ``method``: ``distributed`` takes everything from value counts in buckets, for inputs of any
+    ``method``: ``distributed`` finds exact quantiles in brackets, in two passes, for inputs of any
     size; ``exact`` and ``approx`` are one aggregate with the built-in percentiles (an exact one
     keeps every distinct value in one buffer).
     """
@@ -57,24 +58,25 @@ def describe_plus(
     numbers = df.select(*[as_number(c).alias(c) for c in columns])
     # one narrow row per value: each column is reduced in its own group, in parallel
     long = numbers.unpivot([], list(columns), "metric", "value").where("value is not null")
+    moments = (
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std_dev"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.skewness("value").alias("skewness"),
+        F.kurtosis("value").alias("kurtosis"),
+    )
     if method == "distributed":
-        table = _describe_counts(ranking.value_counts(long, "value", "metric"))
+        table = _describe_in_brackets(long, moments, accuracy)
     else:
         wanted = F.array(*map(F.lit, QUANTILES))
-        table = long.groupBy("metric").agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std_dev"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            F.skewness("value").alias("skewness"),
-            F.kurtosis("value").alias("kurtosis"),
-            (
-                F.percentile("value", wanted)
-                if method == "exact"
-                else F.percentile_approx("value", wanted, accuracy)
-            ).alias("q"),
+        quantiles = (
+            F.percentile("value", wanted)
+            if method == "exact"
+            else F.percentile_approx("value", wanted, accuracy)
         )
+        table = long.groupBy("metric").agg(*moments, quantiles.alias("q"))
     quantile = {p: F.col("q")[i] for i, p in enumerate(QUANTILES)}
 
     def r(c: Column | str) -> Column:
@@ -99,35 +101,74 @@ def describe_plus(
     )
 
 
-def _describe_counts(counts: DataFrame) -> DataFrame:
-    """The measures of ``describe_plus`` from value counts: the data itself is read only once."""
-    w, value = F.col("_count"), F.col("value")
-    totals = counts.groupBy("metric").agg(
-        F.sum(w).alias("count"),
-        (F.sum(w * value) / F.sum(w)).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+def _brackets(edges: Sequence[float]) -> list[float]:
+    """Low and high edges of brackets, those that overlap made one, filled up with NaN."""
+    merged: list[list[float]] = []
+    for low, high in sorted(zip(edges[::2], edges[1::2])):
+        if merged and low <= merged[-1][1]:
+            merged[-1][1] = max(high, merged[-1][1])
+        else:
+            merged.append([low, high])
+    flat = [edge for bracket in merged for edge in bracket]
+    return flat + [math.nan] * (len(edges) - len(flat))
+
+
+def _describe_in_brackets(long: DataFrame, moments: Sequence[Column], accuracy: int) -> DataFrame:
+    """Moments and exact quantiles from two passes over rows (metric, value).
+
+    The first pass gives the moments and, from bounded summaries, a bracket around each quantile: its
+    rank is known to one part in ``accuracy``. The second counts the values between brackets, and
+    each value inside one; only these are sorted (in ranges, see ``ranking``) to find the
+    positions. A position just outside a bracket is the least or the largest value there.
+    """
+    spark, margin = long.sparkSession, 2 / accuracy
+    around = [min(max(q + side, 0.0), 1.0) for q in QUANTILES for side in (-margin, margin)]
+    edges = F.percentile_approx("value", F.array(*map(F.lit, around)), accuracy).alias("edges")
+    rows = [r.asDict() for r in long.groupBy("metric").agg(*moments, edges).collect()]  # one per column
+    measures = "count long, mean double, std_dev double, min double, max double, skewness double, kurtosis double"
+    names = ["metric", *[part.split()[0] for part in measures.split(", ")]]
+    table = spark.createDataFrame(
+        [tuple(r[n] for n in names) for r in rows], f"metric string, {measures}"
     )
-    distance = value - F.col("mean")
-    moments = (
-        counts.join(F.broadcast(totals.select("metric", "mean")), "metric")  # one row per column
-        .groupBy("metric")
-        .agg(*[F.sum(w * distance**k).alias(f"m{k}") for k in (2, 3, 4)])
+    bounds = [f"_edge_{i}" for i in range(len(around))]
+    brackets = spark.createDataFrame(
+        [(r["metric"], *_brackets(r["edges"])) for r in rows],
+        ", ".join(["metric string", *[f"{b} double" for b in bounds]]),
     )
-    quantiles = ranking.exact_quantiles(counts, "value", QUANTILES, "metric")
-    in_order = F.sort_array(F.collect_list(F.struct("probability", "value")))
-    n, m2, m3, m4 = map(F.col, ("count", "m2", "m3", "m4"))
-    return (
-        totals.join(moments, "metric")
-        .join(quantiles.groupBy("metric").agg(in_order["value"].alias("q")), "metric")
-        .withColumns(
-            {
-                "std_dev": F.sqrt(F.try_divide(m2, n - 1)),
-                "skewness": F.try_divide(F.sqrt(n) * m3, m2**1.5),
-                "kurtosis": F.try_divide(n * m4, m2**2) - 3,
-            }
-        )
+    value, cell = F.col("value"), F.lit(len(bounds))
+    for i in reversed(range(len(bounds))):  # NaN is larger than any value
+        cell = F.when(value <= F.col(bounds[i]) if i % 2 else value < F.col(bounds[i]), i).otherwise(cell)
+    inside = F.col("_cell") % 2 == 1
+    counts = (
+        long.join(F.broadcast(brackets), "metric")  # one row per column
+        .select("metric", "value", cell.alias("_cell"))
+        .groupBy("metric", "_cell", F.when(inside, value).alias("_inside"))
+        .agg(F.count(F.lit(1)).alias("_count"), F.min(value).alias("_least"), F.max(value).alias("_most"))
+    )
+    placed = ranking.running_positions(counts, "_least", "_count", by="metric")
+    wanted = []
+    for r in rows:
+        for q in QUANTILES:
+            exact = q * (r["count"] - 1)
+            low = int(exact)
+            wanted.append((r["metric"], q, low, min(low + 1, r["count"] - 1), exact - low))
+    targets = spark.createDataFrame(wanted, "metric string, probability double, low long, high long, part double")
+
+    def at(position: str) -> Column:
+        here = (F.col(position) >= F.col("before")) & (F.col(position) < F.col("before") + F.col("_count"))
+        found = F.when(F.col(position) == F.col("before"), F.col("_least")).otherwise(F.col("_most"))
+        return F.max(F.when(here, found))
+
+    low, high = at("low"), at("high")
+    near = (F.col("high") >= F.col("before")) & (F.col("low") < F.col("before") + F.col("_count"))
+    quantiles = (
+        placed.join(F.broadcast(targets), "metric")  # one row per column and quantile
+        .where(near)
+        .groupBy("metric", "probability")
+        .agg((low + (high - low) * F.first("part")).alias("_quantile"))
     )
+    in_order = F.sort_array(F.collect_list(F.struct("probability", "_quantile")))
+    return table.join(quantiles.groupBy("metric").agg(in_order["_quantile"].alias("q")), "metric")
 
 
 def _quoted(column: str) -> str:
