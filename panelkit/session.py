@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +31,46 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """Unused path for a table of this application under the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/panelkit/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/panelkit/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that are stored inside the block at its end, but for those that ``keep`` has
+    handed on. Results that are to be used later must be stored and kept, or collected, inside."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Hand a stored table on to the block around the present one, which removes it (if there is one)."""
+    names = {file.rstrip("/") for file in df.inputFiles()}
+    for path in list(_scopes[-1]) if _scopes else []:
+        folder = path.split("://", 1)[-1]
+        if any(folder.removeprefix("file:") in name for name in names):
+            _scopes[-1].remove(path)
+            if len(_scopes) > 1:
+                _scopes[-2].append(path)
+    return df
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
