@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelkit.llm import stages
-from panelkit.session import materialise
+from panelkit.session import keep, materialise, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,8 +25,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are stored and read again by the next."""
+    """All stages over ``documents``; each one's rows are stored and read again by the next.
+
+    What a stage stores besides its result is removed when it is over, and its result when the next one
+    has been stored.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    with scratch(spark):
+        for name, stage in STAGES:
+            with scratch(spark):
+                docs = keep(materialise(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        return keep(docs)
