@@ -399,6 +399,8 @@ def cleaning() -> dict[str, str]:
           WHERE c_mktsegment IS NULL OR c_mktsegment NOT IN ('BUILDING', 'FURNITURE')""",
         "c4_parse_dates": f"SELECT o_orderkey, {parsed} FROM orders WHERE o_orderkey % 8 < 7",
         "c4_parse_dates_keep_invalid": f"SELECT o_orderkey, {parsed} FROM orders",
+        "c4_unparsed_dates": """SELECT count(*) FILTER (o_orderkey % 8 = 7) AS dropped,
+          CAST(0 AS BIGINT) AS without_date FROM orders""",
         "c5_dedupe_keep": _kept("DESC"),
         "c5_dedupe_keep_first": _kept("ASC"),
         "c5_dedupe_whole_rows": "SELECT DISTINCT text, lang FROM documents",

@@ -28,6 +28,7 @@ SNAPSHOT = (
     "deaths_per_100k",
     "fully_vaccinated_rate",
 )
+# Columns of the row explorer; provenance columns are given by the caller.
 SHOWN = (
     "country",
     "date",
@@ -38,8 +39,6 @@ SHOWN = (
     "case_fatality_rate",
     "cases_per_100k",
     "fully_vaccinated_rate",
-    "data_curator",
-    "data_engineer",
 )
 
 
@@ -180,9 +179,9 @@ def coverage_scatter(
     )
 
 
-def explorer_tail(df: DataFrame, rows: int = 500) -> DataFrame:
-    """The last rows of the panel in (country, date) order."""
-    shown = df.select(*present(df, SHOWN))
+def explorer_tail(df: DataFrame, rows: int = 500, columns: Sequence[str] = SHOWN) -> DataFrame:
+    """The last rows of the panel in (country, date) order, with those of the columns that it has."""
+    shown = df.select(*present(df, columns))
     return shown.orderBy(F.col("country").desc(), F.col("date").desc()).limit(rows)
 
 

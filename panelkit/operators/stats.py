@@ -14,6 +14,7 @@ from panelkit.operators import ranking
 from panelkit.operators.cleaning import present
 from panelkit.session import materialise
 
+# Columns that are described, and correlated, unless others are named.
 DESCRIBED = (
     "new_cases",
     "new_deaths",

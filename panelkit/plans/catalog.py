@@ -573,6 +573,7 @@ def queries() -> dict[str, Query]:
         "a5_detect_peaks_total": a5_detect_peaks_total,
         "a6_compare_trajectories": on_features(series.compare_trajectories, entities=NATIONS),
         "a7_region_max_summary": on_features(series.region_max_summary),
+        "c4_unparsed_dates": lambda spark, sf: cleaning.unparsed_dates(_mixed_dates(spark, sf)),
         "f1_chart_daily_cases": on_features(charts.daily_total),
         "f2_chart_daily_deaths": on_features(charts.daily_total, metric="new_deaths"),
         "f3_chart_rolling_cases": on_features(charts.rolling_of_top),
