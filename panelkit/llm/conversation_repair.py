@@ -9,8 +9,8 @@ used up the same rows is the beginning of another, so merging never loses the le
 
 The grammar is left recursive, so there are few different stacks, and what a row does to a stack
 depends on its kind alone. Rows are dealt by range of (conversation, turn): a conversation that lies
-inside a range is repaired there. Those that touch an end of a range, among them any that is too large
-for one task, are repaired in segments: each segment is parsed from every stack it may start with,
+inside a range is repaired there. Those that touch an end of a range, and any with more than ``SEGMENT``
+rows, are repaired in segments of at most so many rows: each segment is parsed from every stack it may start with,
 the segments' results are chained, and each segment then applies the edits that were chosen for it.
 """
 
@@ -30,7 +30,9 @@ from panelkit.session import materialise
 # Costs of the edits, and what an undeleted row without an end costs besides.
 KEEP, REROLE, DELETE, INSERT, UNENDED = 0, 1, 2, 5, 5
 LEGAL_PAIRS = ("su", "ua", "au")  # fixed value
+SEGMENT = 20_000  # rows of a conversation that a task holds
 ROLE_OF = {"u": "user", "a": "assistant"}  # roles that edits may give, by terminal
+RANGE = 24  # bits of a segment's number inside its range
 SPACE, ENDS = " \t\n\x0b\x0c\r", ".!?"
 
 Stack = tuple  # (state, stack below); the tails are shared
@@ -224,29 +226,24 @@ def _found(facts: Facts, best: Best, digest: str) -> tuple:
     return (*counts, best[0], best[1], digest)
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, bool, list[tuple]]]:
-    """Parts of runs of rows with equal keys: (key, whether the run ends here, rows so far).
-
-    The rows of a run are handed out once, at its end; the iterator holds one run.
-    """
+def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Runs of rows with equal keys, (key, rows); one run is held at a time."""
     held, key = [], None
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-        names = batch.schema.names
-        places = [names.index(k) for k in keys]
-        for row in zip(*columns):
+        places = [batch.schema.names.index(k) for k in keys]
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
             own = tuple(row[p] for p in places)
             if held and own != key:
-                yield key, False, held
+                yield key, held
                 held = []
             key = own
             held.append(row)
     if held:
-        yield key, True, held
+        yield key, held
 
 
 def ordered(rows: DataFrame, id_column: str, turn_column: str, role_column: str, text_column: str) -> DataFrame:
-    """conv, turn, role, text, place: nulls in role and text are one space."""
+    """conv, turn, role, text: nulls in role and text are one space."""
     return rows.select(
         F.col(id_column).alias("conv"),
         F.col(turn_column).cast("long").alias("turn"),
@@ -258,35 +255,56 @@ def ordered(rows: DataFrame, id_column: str, turn_column: str, role_column: str,
 def _inside_ranges(rows: DataFrame, kind: str) -> DataFrame:
     """Results of the conversations that lie inside a range, and the rows of all others.
 
-    ``part`` and ``number`` place such a row: ranges follow each other in the order of the rows.
+    ``part`` is the segment of such a row and ``number`` its place in its range: ranges follow each other
+    in the order of the rows, and so do the segments of a range.
     """
     order = ["conv", F.col("turn").asc_nulls_first(), "role", "text"]
-    schema = f"conv {kind}, {FOUND}, part int, number long, turn long, role string, text string"
-    fields = _arrow(schema)
+    schema = f"conv {kind}, {FOUND}, part long, number long, turn long, role string, text string"
+    fields, size = _arrow(schema), SEGMENT
 
     def repaired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grammar, first, number = Grammar(), True, 0
+        grammar = Grammar()
         out: list[tuple] = []
-        for (conv,), last, run in _runs(batches, ("conv",)):
-            if first or last:  # it may go on in the range before or after
-                for row in run:
-                    out.append((conv, *[None] * len(FOUND_NAMES), row[4], number, row[1], row[2], row[3]))
-                    number += 1
-            else:
-                kinds, facts = examined((row[1:4] for row in run))
-                best = grammar.accepted(grammar.parse(kinds, grammar.initial()))
-                lines = "\n".join(repaired_lines([row[2:4] for row in run], best[1], best[2]))
-                digest = hashlib.sha256(lines.encode()).hexdigest()
-                out.append((conv, *_found(facts, best, digest), *[None] * 5))
-            first = False
-            if len(out) >= 2_000:
-                yield _batch(fields, out)
-                out = []
+        run: list[tuple] = []
+        key, started, cut, number = None, False, True, 0
+
+        def set_apart(rows: list[tuple]) -> None:
+            nonlocal number
+            for conv, turn, role, text, place in rows:
+                part = (place << RANGE) + number // size
+                out.append((conv, *[None] * len(FOUND_NAMES), part, number, turn, role, text))
+                number += 1
+
+        def repair_run() -> None:
+            kinds, facts = examined(row[1:4] for row in run)
+            best = grammar.accepted(grammar.parse(kinds, grammar.initial()))
+            lines = "\n".join(repaired_lines([row[2:4] for row in run], best[1], best[2]))
+            out.append((key, *_found(facts, best, hashlib.sha256(lines.encode()).hexdigest()), *[None] * 5))
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if not started or row[0] != key:
+                    if not cut:
+                        repair_run()
+                    # the first conversation may have begun in the range before
+                    run, key, cut, started = [], row[0], not started, True
+                if not cut:
+                    run.append(row)
+                    cut = len(run) > size
+                    if cut:
+                        set_apart(run)
+                        run = []
+                else:
+                    set_apart([row])
+                if len(out) >= 2_000:
+                    yield _batch(fields, out)
+                    out = []
+        set_apart(run)  # the last one may go on in the range after
         if out:
             yield _batch(fields, out)
 
-    dealt = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    return dealt.sortWithinPartitions("part", *order).mapInArrow(repaired, schema)
+    dealt = rows.repartitionByRange(*order).withColumn("place", F.spark_partition_id())
+    return dealt.sortWithinPartitions("place", *order).mapInArrow(repaired, schema)
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -298,14 +316,14 @@ def _arrow(schema: str) -> pa.Schema:
 
 def _segments(rows: DataFrame, kind: str) -> DataFrame:
     """For each segment (conv, part): its facts, and its parses from every stack."""
-    schema = f"conv {kind}, part int, facts string, parses string"
+    schema = f"conv {kind}, part long, facts string, parses string"
     fields = _arrow(schema)
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar()
         stacks = grammar.stacks()
         numbers = {stack: i for i, stack in enumerate(stacks)}
-        for (conv, part), _, run in _runs(batches, ("conv", "part")):
+        for (conv, part), run in _runs(batches, ("conv", "part")):
             kinds, facts = examined((row[3:6] for row in run), (row[6] for row in run))
             parses = [
                 [(numbers[reached], *best) for reached, best in grammar.parse(kinds, {stack: (0, "", "")}).items()]
@@ -324,13 +342,13 @@ def _batch(fields: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 def _chained(segments: DataFrame, kind: str) -> DataFrame:
     """Per conversation its result without the digest, per segment the edits chosen for it."""
-    schema = f"conv {kind}, part int, audit string, left string, result string"
+    schema = f"conv {kind}, part long, audit string, left string, result string"
     fields = _arrow(schema)
 
     def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = Grammar()
         stacks = grammar.stacks()
-        for (conv,), _, run in _runs(batches, ("conv",)):
+        for (conv,), run in _runs(batches, ("conv",)):
             facts = Facts()
             # of each stack: the best parse, and the way to it as (parse of the last segment, way before)
             heads = {stacks.index(s): (best, None) for s, best in grammar.initial().items()}
@@ -363,11 +381,11 @@ def _chained(segments: DataFrame, kind: str) -> DataFrame:
 
 def _digests(rows: DataFrame, chosen: DataFrame, kind: str) -> DataFrame:
     """conv, digest of the repaired lines: segments make their lines, one task hashes them in order."""
-    lines_schema, digest_schema = f"conv {kind}, part int, lines string", f"conv {kind}, digest string"
+    lines_schema, digest_schema = f"conv {kind}, part long, lines string", f"conv {kind}, digest string"
     lines_fields, digest_fields = _arrow(lines_schema), _arrow(digest_schema)
 
     def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv, part), _, run in _runs(batches, ("conv", "part")):
+        for (conv, part), run in _runs(batches, ("conv", "part")):
             lines = repaired_lines([row[3:5] for row in run], run[0][5], run[0][6])
             text = list(lines)
             yield _batch(lines_fields, [(conv, part, "\n".join(text) if text else None)])
@@ -417,7 +435,7 @@ def repair(
     whole = first.filter("part IS NULL").select(*names)
     cut = first.filter("part IS NOT NULL").select("conv", "part", "number", "turn", "role", "text")
     # the first of equal rows of a conversation; its place is one number, ranges in order
-    place = F.shiftleft(F.col("part").cast("long"), 40) + F.col("number")
+    place = F.shiftleft(F.shiftright("part", RANGE), 40) + F.col("number")
     several = cut.groupBy("conv", "role", "text").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     several = several.filter("n > 1").select(
         F.col("conv").alias("of"), F.col("role").alias("role_of"), F.col("text").alias("text_of"), "first"

@@ -73,7 +73,9 @@ def repaired(rows):
     )
 
 
-def test_conversation_over_many_ranges(spark):
+@pytest.mark.parametrize("size", [7, 20_000])
+def test_conversation_over_many_ranges(spark, monkeypatch, size):
+    monkeypatch.setattr(conversation_repair, "SEGMENT", size)
     draw = random.Random(4)
     pool = ["Yes.", "No!", "", None, "half a sen", "why?", "\t", "a\nb."]
     rows = [
