@@ -156,7 +156,8 @@ def _conversations() -> str:
         ),
         numbered AS (
             SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
-                   left(role, 1) AS initial, regexp_replace(text, '[ 	-]+$', '') AS body
+                   left(role, 1) AS initial, regexp_replace(text, '[ 	-
+]+$', '') AS body
             FROM damaged
         ),
         judged AS MATERIALIZED (
@@ -219,7 +220,78 @@ def _conversations() -> str:
     """
 
 
+def _near_duplicates() -> str:
+    shingle = " || ' ' || ".join(f"w[i + {k}]" for k in range(4))
+    return rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array({LOWER}, '{SPACE}'), lambda x: x != '') AS w
+            FROM documents
+        ),
+        sets AS (
+            SELECT doc_id, list_sort(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: {shingle})) END) AS s
+            FROM d
+        ),
+        named AS (
+            SELECT doc_id, len(s) AS n, CASE WHEN len(s) = 0 THEN doc_id
+                ELSE min(doc_id) OVER (PARTITION BY array_to_string(s, chr(10))) END AS rep, s
+            FROM sets
+        ),
+        tokens AS (SELECT doc_id, n, unnest(s) AS t FROM named WHERE doc_id = rep),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id != b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ),
+        reached(root, x) AS (
+            SELECT DISTINCT rep, rep FROM named
+            UNION
+            SELECT root, y FROM reached JOIN links USING (x)
+        ),
+        lowest AS (SELECT root AS rep, min(x) AS component_id FROM reached GROUP BY root)
+        SELECT doc_id, n AS n_shingles, component_id FROM named JOIN lowest USING (rep)
+    """
+
+
+def _repeats() -> str:
+    """Repeated strings by their digests; a byte has two hexadecimal digits."""
+    return """
+        WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS h FROM documents),
+        -- pieces with 500 starts each, so that cutting out a string does not walk a long text
+        pieces AS (
+            SELECT doc_id, 500 * c AS base, substr(h, 1000 * c + 1, 1198) AS piece
+            FROM (SELECT doc_id, h, unnest(range(0, (len(h) // 2 + 400) // 500)) AS c FROM d WHERE len(h) >= 200)
+        ),
+        starts AS (SELECT doc_id, base, piece, unnest(range(0, len(piece) // 2 - 99)) AS i FROM pieces),
+        strings AS (SELECT doc_id, base + i AS i, md5_number(substr(piece, 2 * i + 1, 200)) AS digest FROM starts),
+        again AS (
+            SELECT doc_id, i FROM strings
+            QUALIFY row_number() OVER (PARTITION BY digest ORDER BY doc_id, i) > 1
+        ),
+        opened AS (
+            SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 100 THEN 0 ELSE 1 END AS opens
+            FROM again WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+        ),
+        numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM opened),
+        runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM numbered GROUP BY doc_id, run),
+        placed AS (
+            SELECT r.*, h, coalesce(lag(b) OVER (PARTITION BY r.doc_id ORDER BY a), 0) AS since
+            FROM runs r JOIN d ON r.doc_id = d.doc_id
+        ),
+        cut AS (
+            SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                   string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+            FROM placed GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
+    """
+
+
 ORACLES = {
+    "op2_ngram_jaccard": _near_duplicates(),
+    "op4_suffix_dedup": _repeats(),
     "op5_exact_dedup": rf"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g') AS text
