@@ -4,7 +4,7 @@ A byte goes when a string of ``length`` bytes that covers it also starts earlier
 with a smaller id, or earlier in the same one.
 
 Shards. Each stretch of ``SHARD`` bytes of documents gets a suffix array, by the refinement of
-Larsson and Sadakane in array operations: suffixes are grouped by their first eight bytes, and
+Larsson and Sadakane in array operations: suffixes are grouped by their first five bytes or so, and
 groups with more than one member are sorted again by the group of the suffix h bytes on, h
 doubling. The last step reaches ``length`` bytes exactly, so suffixes share a group just when their
 common prefix has that many; all but the first of a group are repeats.
@@ -57,41 +57,64 @@ def suffix_groups(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     their first member in the order. Beyond its end the data counts as zeros.
     """
     n = len(data)
-    padded = np.zeros(n + 8, dtype=np.uint64)
-    padded[:n] = data
-    head = np.zeros(n, dtype=np.uint64)
-    step = min(8, length)
-    for i in range(step):
-        head = head << np.uint64(8) | padded[i : n + i]
-    order = np.argsort(head)
-    sorted_heads = head[order]
+    kind = np.int32 if n < 1 << 31 else np.int64
+    # bytes by their rank among those that occur, so that more of them fit into a number
+    used = np.zeros(256, dtype=bool)
+    used[data] = True
+    used[0] = True
+    rank = np.cumsum(used).astype(np.uint64) - np.uint64(1)
+    width = max(1, int(rank[-1]).bit_length())
+    bits = max(1, n.bit_length())
+    step = min((64 - bits) // width, length)
+    padded = np.zeros(n + step, dtype=np.uint64)
+    padded[:n] = rank[data]
+    head = padded[:n].copy()
+    for i in range(1, step):
+        head <<= np.uint64(width)
+        head |= padded[i : n + i]
+    # sorting values that carry their position is several times faster than sorting positions
+    bits, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+    head <<= bits
+    head |= np.arange(n, dtype=np.uint64)
+    head.sort()
+    order = (head & mask).astype(kind)
+    head >>= bits
     new = np.ones(n, dtype=bool)
-    new[1:] = sorted_heads[1:] != sorted_heads[:-1]
+    np.not_equal(head[1:], head[:-1], out=new[1:])
     starts = np.flatnonzero(new)
-    group = np.empty(n + 1, dtype=np.int64)
-    group[order] = np.repeat(starts, np.diff(np.append(starts, n)))
+    group = np.empty(n + 1, dtype=kind)
+    group[order] = np.repeat(starts.astype(kind), np.diff(np.append(starts, n)))
     group[n] = -1
-    places = np.arange(n)
     done = step
     while done < length:
         # the last step overlaps the one before, so that groups agree on ``length`` bytes exactly
         apart = min(done, length - done)
-        again = np.ones(n, dtype=bool)
-        again[:-1] &= new[1:]
-        again &= new  # members of a group of one
-        places = np.flatnonzero(~again)
+        alone = new.copy()  # members of a group of one
+        alone[:-1] &= new[1:]
+        places = np.flatnonzero(~alone)
         if not len(places):
             break
         members = order[places]
-        own, beyond = group[members], group[np.minimum(members + apart, n)]
-        by = np.lexsort((beyond, own)) if n >= 1 << 31 else np.argsort(own << 32 | (beyond + 1))
-        members, own, beyond = members[by], own[by], beyond[by]
+        own, beyond = group[members], group[np.minimum(members + kind(apart), kind(n))]
+        if 3 * int(bits) <= 64:
+            pair = own.astype(np.uint64) << bits
+            pair |= (beyond + kind(1)).astype(np.uint64)
+            pair <<= bits
+            pair |= np.arange(len(own), dtype=np.uint64)
+            pair.sort()
+            members = members[(pair & mask).astype(kind)]
+            pair >>= bits
+            fresh = np.ones(len(members), dtype=bool)
+            np.not_equal(pair[1:], pair[:-1], out=fresh[1:])
+        else:
+            by = np.lexsort((beyond, own))
+            members, own, beyond = members[by], own[by], beyond[by]
+            fresh = np.ones(len(members), dtype=bool)
+            fresh[1:] = (own[1:] != own[:-1]) | (beyond[1:] != beyond[:-1])
         order[places] = members
-        fresh = np.ones(len(members), dtype=bool)
-        fresh[1:] = (own[1:] != own[:-1]) | (beyond[1:] != beyond[:-1])
         new[places] = fresh
-        first = places[fresh]
-        group[members] = np.repeat(first, np.diff(np.append(np.flatnonzero(fresh), len(members))))
+        at = np.flatnonzero(fresh)
+        group[members] = np.repeat(places[at].astype(kind), np.diff(np.append(at, len(members))))
         done += apart
     return order, group[:n]
 
