@@ -1,11 +1,10 @@
 """Dimensional model: regions, entities, entity statistics, two daily facts, metadata.
 
-Ids of entities follow their names and come from bucketed positions, so they do not pass through one
-task. The id of a fact row is made of its entity id and its day: it follows the (country, date)
-order and needs no sort. Stored facts have a folder per year; a filter on ``year`` (see
-``in_period``), or a join with a filtered calendar, reads the folders it needs. Joins carry no
-broadcast hint: Spark broadcasts a dimension when its measured size allows and sort-merges it
-otherwise.
+Ids are counters in the (country, date) order of the feature panel and come from bucketed positions,
+so neither the entities nor the facts pass through one task. Fact rows are stored once with their
+ids. Stored facts have a folder per year; a filter on ``year`` (see ``in_period``), or a join with a
+filtered calendar, reads the folders it needs. Joins carry no broadcast hint: Spark broadcasts a
+dimension when its measured size allows and sort-merges it otherwise.
 """
 
 from __future__ import annotations
@@ -16,11 +15,11 @@ from dataclasses import dataclass, fields, replace
 from typing import Any
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.latest import picked_rows
-from panelkit.operators.ranking import number_rows
+from panelkit.operators.ranking import number_rows, running_positions
 from panelkit.session import materialise, new_path
 
 # Table names that SQL text refers to.
@@ -62,10 +61,6 @@ STATISTICS = (
 )
 
 
-#: Room for the days of an entity in the ids of fact rows: more than four-digit years have.
-DAYS = 1 << 22
-
-
 @dataclass(frozen=True)
 class Model:
     regions: DataFrame
@@ -202,22 +197,34 @@ def _measure(rows: DataFrame, source: str, target: str) -> Column:
     return value.cast("double").alias(target)
 
 
-def fact_id(country_id: Column, date: Column) -> Column:
-    """Id of the fact row of an entity and a day, in the order of both."""
-    day = F.datediff(date, F.lit("0001-01-01").cast("date"))
-    return country_id.cast("long") * DAYS + day
-
-
-def _identified_rows(panel: DataFrame, countries: DataFrame) -> DataFrame:
-    """Panel rows with entity id, record id and year."""
+def _numbered_rows(panel: DataFrame, countries: DataFrame) -> DataFrame:
+    """Panel rows with entity id, year and a record id: 1, 2, ... in (country, date) order."""
     entity = _entity_column(panel)
     own = ("country_id", "country_name", "record_id", "year")
     days = panel.drop(*own).where(F.col("date").isNotNull())
-    names = countries.select("country_id", "country_name")
-    date = F.col("date").cast("date")
-    return days.join(names, F.col(entity) == F.col("country_name")).withColumns(
-        {"record_id": fact_id(F.col("country_id"), date), "year": F.year(date)}
+    sizes = days.groupBy(entity).agg(F.count(F.lit(1)).alias("_rows"))
+    named = sizes.join(
+        countries.select("country_id", "country_name"), F.col(entity) == F.col("country_name")
     )
+    starts = running_positions(named, "country_id", "_rows").select(
+        "country_id", F.col("before").alias("_start"), F.col(entity).alias("_of")
+    )
+    in_entity = Window.partitionBy(entity).orderBy("date")  # same key as the join
+    return days.join(starts, F.col(entity) == F.col("_of")).withColumns(
+        {
+            "record_id": (F.col("_start") + F.row_number().over(in_entity)).cast("long"),
+            "year": F.year(F.col("date").cast("date")),
+        }
+    )
+
+
+def _stored_rows(
+    panel: DataFrame, countries: DataFrame, measures: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """The numbered rows, stored: all readers see the same ids, and none numbers the rows anew."""
+    rows = _numbered_rows(panel, countries)
+    sources = [c for c in measures if c in rows.columns]
+    return materialise(rows.select("record_id", "country_id", "date", *sources, "year"), "facts", by)
 
 
 def _fact(rows: DataFrame, columns: Mapping[str, str], *more: str) -> DataFrame:
@@ -246,13 +253,13 @@ def in_period(fact: DataFrame, start: str | None = None, end: str | None = None)
 def build_daily_fact(panel: DataFrame, countries: DataFrame | None = None) -> DataFrame:
     """Daily flows, counters, rates and rolling means per entity id. Nulls stay null."""
     countries = build_entities(panel) if countries is None else countries
-    return _fact(_identified_rows(panel, countries), DAILY_COLUMNS)
+    return _fact(_stored_rows(panel, countries, [*DAILY_COLUMNS.values()]), DAILY_COLUMNS)
 
 
 def build_vaccination_fact(panel: DataFrame, countries: DataFrame | None = None) -> DataFrame:
     """Daily doses, people covered and coverage rates per entity id. Nulls stay null."""
     countries = build_entities(panel) if countries is None else countries
-    return _fact(_identified_rows(panel, countries), VACCINATION_COLUMNS)
+    return _fact(_stored_rows(panel, countries, [*VACCINATION_COLUMNS.values()]), VACCINATION_COLUMNS)
 
 
 def build_metadata(spark: SparkSession, **values: str) -> DataFrame:
@@ -267,15 +274,15 @@ def build_metadata(spark: SparkSession, **values: str) -> DataFrame:
 def build_all(panel: DataFrame, metadata: Mapping[str, str] | None = None) -> Model:
     """The whole model from a feature panel.
 
-    Dimensions and fact rows are stored once, these with a folder per year; the two facts are
-    projections of the same stored rows, so the join is computed once and scans stay column-pruned.
+    Dimensions and numbered fact rows are stored once, these with a folder per year; the two facts are
+    projections of the same stored rows, so the ids and the join are computed once and scans stay
+    column-pruned.
     """
     regions = materialise(build_regions(panel), "regions")
     numbered = materialise(_numbered_entities(panel), "entities")
     countries = materialise(_with_region_id(numbered, regions), "countries")
-    rows = _identified_rows(panel, countries)
-    sources = [c for c in (*DAILY_COLUMNS.values(), *VACCINATION_COLUMNS.values()) if c in rows.columns]
-    rows = materialise(rows.select("record_id", "country_id", "date", *sources, "year"), "facts", ["year"])
+    measures = [*DAILY_COLUMNS.values(), *VACCINATION_COLUMNS.values()]
+    rows = _stored_rows(panel, countries, measures, ["year"])
     model = Model(
         regions,
         countries,
