@@ -28,3 +28,8 @@ def test_daily_fact_counts_its_rows(spark, rows):
     m = model.build_all(rows)
     assert ids(m.daily) == NUMBERED
     assert {r["year"] for r in m.daily.collect()} == {dt.date(2021, 1, 1).year}
+
+
+def test_vaccination_fact_counts_its_rows(spark, rows):
+    assert ids(model.build_vaccination_fact(rows)) == NUMBERED
+    assert ids(model.build_all(rows).vaccination) == NUMBERED
