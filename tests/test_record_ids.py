@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.plans import model
+from panelkit.plans import model, suite
 from tests.test_hazards import features_rows
 
 NUMBERED = [(1, 1, 1), (2, 1, 2), (3, 2, 1), (4, 2, 2), (5, 2, 3)]  # id, entity, day
@@ -33,3 +34,9 @@ def test_daily_fact_counts_its_rows(spark, rows):
 def test_vaccination_fact_counts_its_rows(spark, rows):
     assert ids(model.build_vaccination_fact(rows)) == NUMBERED
     assert ids(model.build_all(rows).vaccination) == NUMBERED
+
+
+def test_orphans_are_named_by_their_counters(spark, rows):
+    m = model.build_all(rows)
+    found = suite.orphans(replace(m, countries=m.countries.where("country_id = 1")))
+    assert ids(found) == NUMBERED[2:]
