@@ -14,8 +14,9 @@ pass over all documents; the table is bounded, and the classes only steer the wo
 are called frequent does not change the result.
 
 Verification. Sets that meet under a key are first compared by size and by parity sketches, whose
-distance never exceeds that of the sets, so that no pair is lost. The few members of a small group
-give all their pairs. Crowded keys mostly come from one large family of copies and bring the same
+distance never exceeds that of the sets, so that no pair is lost. Small groups are compared where
+they are: of keys with the same members one counts, groups with the same first member meet in one
+task, each member's sketch comes there once, and only pairs that pass leave it. Crowded keys mostly come from one large family of copies and bring the same
 sets together again and again, so sets that crowded keys connect are compared once, as a family, in
 blocks; small groups leave the pairs of one family to that. Of the pairs left in a family only some between any two components are verified, more in
 each round, until all pairs are linked, refuted, or within one component. Verified are the full
@@ -43,13 +44,16 @@ SHARE = 1 << 19  # a token is frequent from one in so many tokens of a stretch
 LEAST = 6  # and from so many occurrences
 FREQUENT = 1 << 17  # frequent tokens at most: 1 MB of hashes
 CLASS_WIDTH = 12  # size class divided by this: number of token classes
-SMALL = 64  # members of a group whose pairs are listed outright
+SMALL = 64  # members of a group whose pairs are compared outright
+UNIT = 256  # small groups with the same first member that are compared together
+ENTRIES = 1 << 18  # memberships in small groups whose pairs are held at once
 BLOCK = 8192  # members of a family compared in one task
 FAMILY = 16 * BLOCK  # larger families are compared key by key
 
 SETS = "row long, id long, content long, n long, h1 long, h2 long, keys array<long>, sketch binary"
 PAIRS = "a long, b long"
 GROUP = ["group", "i", "j"]
+PLACE = ["least", "part"]
 
 
 def need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -237,22 +241,30 @@ def candidates(group: pd.DataFrame, percent: int, budget: int) -> list[tuple[int
     return pairs
 
 
-def listed_pairs(frame: pd.DataFrame, percent: int) -> np.ndarray:
-    """All pairs of members of one key whose sizes can link, but for those of one family.
+def likely_pairs(frame: pd.DataFrame, percent: int) -> np.ndarray:
+    """Pairs that share a small group and may link, but for those of one family.
 
-    ``frame`` is sorted by key; a set outside of families has -1 for its family.
+    ``frame`` has whole units, the members of each with the ``groups`` they are in; a set outside of
+    families has -1 for its family.
     """
-    key, node, n, family = (frame[c].to_numpy() for c in ("key", "node", "n", "family"))
-    pairs = [np.zeros((0, 2), np.int64)]
-    for apart in range(1, min(SMALL, len(key))):
-        at = np.flatnonzero(key[apart:] == key[:-apart])
-        if not len(at):
+    node, n, family = (frame[c].to_numpy() for c in ("node", "n", "family"))
+    held = list(frame["groups"])
+    member = np.repeat(np.arange(len(node)), [len(g) for g in held])
+    group, unit = np.concatenate(held), frame["unit"].to_numpy()[member]
+    order = np.lexsort((member, group, unit))
+    member, group, unit = member[order], group[order], unit[order]
+    met = [np.zeros(0, np.int64)]
+    for apart in range(1, len(member)):
+        same = (group[apart:] == group[:-apart]) & (unit[apart:] == unit[:-apart])
+        if not same.any():
             break
-        low, high = np.minimum(n[at], n[at + apart]), np.maximum(n[at], n[at + apart])
-        others = (family[at] != family[at + apart]) | (family[at] < 0)
-        at = at[(100 * low >= percent * high) & others]
-        pairs.append(np.sort(np.stack([node[at], node[at + apart]], axis=1), axis=1))
-    return np.unique(np.concatenate(pairs), axis=0)
+        x, y = member[:-apart][same], member[apart:][same]
+        others = (family[x] != family[y]) | (family[x] < 0)
+        met.append(np.unique(x[others] * len(node) + y[others]))
+    left, right = np.divmod(np.unique(np.concatenate(met)), len(node))
+    passed = Sketches(n, list(frame["sketch"]), percent).survive(left, right)
+    pairs = np.stack([node[left[passed]], node[right[passed]]], axis=1)
+    return np.unique(np.sort(pairs, axis=1), axis=0)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pd.DataFrame]:
@@ -438,6 +450,35 @@ def families(met: DataFrame, members: DataFrame, sketches: DataFrame) -> DataFra
     )
 
 
+def small_groups(met: DataFrame, own: DataFrame, sketches: DataFrame) -> DataFrame:
+    """least, part, node, n, family, groups, sketch: members of small groups, by units of them.
+
+    Keys with the same members are one group, groups within one family none. A unit has groups with
+    the same least node, ``UNIT`` of them or about that. What comes to it is one sketch for each set
+    that shares a key with that node.
+    """
+    few = met.filter(F.col("members") <= SMALL).join(own, "node", "left")
+    family = F.coalesce("family", F.lit(-1))
+    lists = few.groupBy("key").agg(
+        F.sort_array(F.collect_list("node")).alias("nodes"),
+        F.min(family).alias("low"),
+        F.max(family).alias("high"),
+    )
+    groups = lists.filter("low < 0 OR low < high").select("nodes").distinct()
+    groups = materialise(groups.withColumn("least", F.col("nodes")[0]), "ngram-small")
+    parts = groups.groupBy("least").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("parts"))
+    place = F.xxhash64("nodes")
+    members = (
+        groups.join(parts, "least")
+        .select("least", F.pmod(place, "parts").cast("int").alias("part"), place.alias("place"), F.explode("nodes").alias("node"))
+        .groupBy(*PLACE, "node")
+        .agg(F.collect_list("place").alias("groups"))
+    )
+    return members.join(sketches, "node").join(own.withColumnRenamed("node", "of_family"), F.col("node") == F.col("of_family"), "left").select(
+        *PLACE, "node", "n", family.alias("family"), "groups", "sketch"
+    )
+
+
 def linked_components(
     docs: DataFrame,
     nodes: DataFrame,
@@ -451,32 +492,24 @@ def linked_components(
     """node, component of whatever is linked, by all links of small groups and enough of families."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in _whole_groups(batches, ["key"]):
-            yield _as_pairs(listed_pairs(frame, percent))
-
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            m = batch.num_rows
-            sizes = np.concatenate([batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()])
-            held = batch.column("left").to_pylist() + batch.column("right").to_pylist()
-            passed = Sketches(sizes, held, percent).survive(np.arange(m), np.arange(m, 2 * m))
-            yield batch.select(["a", "b"]).filter(pa.array(passed))
+        for frame in _whole_groups(batches, PLACE):
+            if not len(frame):
+                continue
+            changes = (frame[PLACE] != frame[PLACE].shift()).any(axis=1).to_numpy()
+            unit = np.cumsum(changes) - 1
+            entries = frame["groups"].map(len).to_numpy()
+            before = (np.cumsum(entries) - entries)[changes][unit]  # the same for a whole unit
+            for _, some in frame.assign(unit=unit).groupby(before // ENTRIES, sort=False):
+                yield _as_pairs(likely_pairs(some, percent))
 
     def sets_of(pairs: DataFrame) -> DataFrame:
         return full_sets(docs, nodes, ends(pairs), id_column, text_column, n_words)
 
     members = family_members(met)
     own = members.filter(F.col("size") <= FAMILY).select("node", "family")
-    few = (
-        met.filter(F.col("members") <= SMALL)
-        .join(own, "node", "left")
-        .select("key", "node", "n", F.coalesce("family", F.lit(-1)).alias("family"))
-    )
-    pairs = few.repartition("key").sortWithinPartitions("key").mapInArrow(listed, PAIRS).distinct()
     sized = sketches.join(nodes.select("node", "n"), "node")
-    left = sized.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("left"))
-    right = sized.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("right"))
-    pairs = pairs.join(left, "a").join(right, "b").mapInArrow(likely, PAIRS)
+    small = small_groups(met, own, sized)
+    pairs = small.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(listed, PAIRS).distinct()
     pairs = materialise(pairs, "ngram-pairs")
     done = materialise(verified_pairs(pairs, sets_of(pairs), percent), "ngram-verified")
     crowded = materialise(families(met, members, sketches), "ngram-crowded")
