@@ -16,11 +16,13 @@ are called frequent does not change the result.
 Verification. Sets that meet under a key are first compared by size and by parity sketches, whose
 distance never exceeds that of the sets, so that no pair is lost. Small groups are compared where
 they are: of keys with the same members one counts, groups with the same first member meet in one
-task, each member's sketch comes there once, and only pairs that pass leave it. Crowded keys mostly come from one large family of copies and bring the same
-sets together again and again, so sets that crowded keys connect are compared once, as a family, in
-blocks; small groups leave the pairs of one family to that. Of the pairs left in a family only some between any two components are verified, more in
-each round, until all pairs are linked, refuted, or within one component. Verified are the full
-sets. Documents with equal sets are one node throughout.
+task, each member's sketch comes there once, and only pairs that pass leave it. Crowded keys mostly come
+from one large family of copies and bring the same sets together again and again, so sets that crowded
+keys connect are compared once, as a family, in blocks; small groups leave the pairs of one family to
+that. Of a family's members those whose sketch passes with another one's are looked up in full, and the
+blocks link them at once: every pair that passes and is not connected inside the task yet is verified
+there, so that only a spanning forest of links leaves it. Verified are the full sets. Documents with equal
+sets are one node throughout.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import SHINGLE_WORDS, whole_text
 from panelkit.llm.components import components
 from panelkit.llm.hashing import MIXERS, mixed, shingles, steps
-from panelkit.session import materialise, materialise_counted
+from panelkit.session import materialise
 
 PERCENT = 85
 STRETCH = 1 << 22  # tokens counted together
@@ -49,9 +51,15 @@ UNIT = 256  # small groups with the same first member that are compared together
 ENTRIES = 1 << 18  # memberships in small groups whose pairs are held at once
 BLOCK = 8192  # members of a family compared in one task
 FAMILY = 16 * BLOCK  # larger families are compared key by key
+TOKENS = 1 << 22  # tokens of sets that one set is compared with at once
 
 SETS = "row long, id long, content long, n long, h1 long, h2 long, keys array<long>, sketch binary"
 PAIRS = "a long, b long"
+MEMBERS = "group long, i int, j int, block int, node long, n long, sketch binary"
+MEMBER_TYPES = pa.schema(
+    [("group", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32())]
+    + [("node", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())]
+)
 GROUP = ["group", "i", "j"]
 PLACE = ["least", "part"]
 
@@ -211,33 +219,52 @@ class Sketches:
         return passed
 
 
-def candidates(group: pd.DataFrame, percent: int, budget: int) -> list[tuple[int, int]]:
-    """Pairs of a group that may link and are neither linked nor refuted yet.
-
-    The group has two blocks to be compared, or one. Of the pairs of a member with another
-    component up to ``budget`` are given. With a budget of 0 it is one, and the two count as one
-    component from then on: a spanning forest.
-    """
-    node, block = group["node"].to_numpy(), group["block"].to_numpy()
-    label = pd.factorize(group["component"].to_numpy())[0]
-    refuted = {(a, b) for a, others in zip(node, group["refuted"]) for b in others}
-    sketches = Sketches(group["n"].to_numpy(), list(group["sketch"]), percent)
+def partners(group: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows that a row of a group is to be compared with: each pair of its two blocks, or its one, once."""
+    block = group["block"].to_numpy()
     first, second = group["i"].iloc[0], group["j"].iloc[0]
     columns = np.flatnonzero(block == second)
+    for row in np.flatnonzero(block == first):
+        yield row, columns[columns > row] if first == second else columns
+
+
+def near_rows(group: pd.DataFrame, percent: int) -> np.ndarray:
+    """Which rows of a group may link with another one of it."""
+    sketches = Sketches(group["n"].to_numpy(), list(group["sketch"]), percent)
+    near = np.zeros(len(group), dtype=bool)
+    for row, others in partners(group):
+        others = others[~near[others]] if near[row] else others
+        passed = others[sketches.survive(np.full(len(others), row), others)]
+        near[passed] = True
+        near[row] |= len(passed) > 0
+    return near
+
+
+def linked_rows(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links of a group's nodes, by their full sets: a spanning forest of all links between its blocks."""
+    node, n = group["node"].to_numpy(), group["n"].to_numpy()
+    sketches = Sketches(n, list(group["sketch"]), percent)
+    known, tokens = np.unique(np.frombuffer(b"".join(group["tokens"]), dtype=np.uint64), return_inverse=True)
+    tokens = tokens.astype(np.int32)
+    ends = np.cumsum(n)
+    held, label = np.zeros(len(known), dtype=bool), np.arange(len(node))
     pairs = []
-    for member in np.flatnonzero(block == first):
-        others = columns[columns > member] if first == second else columns
-        others = others[label[others] != label[member]]
+    for row, others in partners(group):
+        others = others[label[others] != label[row]]
+        others = others[sketches.survive(np.full(len(others), row), others)]
         if not len(others):
             continue
-        given: dict[int, int] = {}
-        for other in others[sketches.survive(np.full(len(others), member), others)]:
-            pair = (int(min(node[member], node[other])), int(max(node[member], node[other])))
-            if given.get(label[other], 0) < max(1, budget) and pair not in refuted:
-                given[label[other]] = given.get(label[other], 0) + 1
-                pairs.append(pair)
-        if not budget:
-            label[np.isin(label, list(given))] = label[member]
+        own = tokens[ends[row] - n[row] : ends[row]]
+        held[own] = True
+        for some in np.array_split(others, 1 + n[others].sum() // TOKENS):
+            sets = np.concatenate([tokens[ends[x] - n[x] : ends[x]] for x in some])
+            common = np.add.reduceat(held[sets].astype(np.int64), np.cumsum(n[some]) - n[some])
+            found = some[100 * common >= percent * (n[row] + n[some] - common)]
+            found = found[label[found] != label[row]]
+            labels, one = np.unique(label[found], return_index=True)
+            pairs += [(node[row], node[x]) for x in found[one]]
+            label[np.isin(label, labels)] = label[row]
+        held[own] = False
     return pairs
 
 
@@ -301,7 +328,7 @@ def full_sets(
                     [part.column("node"), pa.array(sets, pa.binary())], names=["node", "tokens"]
                 )
 
-    places = nodes.join(wanted.distinct(), "node", "left_semi").select(
+    places = nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("id").alias("node_id"), F.col("content").alias("node_content")
     )
     rows = docs.select(
@@ -320,13 +347,8 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def ends(pairs: DataFrame, *also: str) -> DataFrame:
-    """The nodes of some pairs."""
-    return pairs.select(*also, F.col("a").alias("node")).union(pairs.select(*also, "b")).distinct()
-
-
-def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, linked of each pair: the sets come to the pairs."""
+def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link: the sets come to the pairs."""
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -335,32 +357,23 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
                 linked(*(np.frombuffer(side.as_buffer(), dtype=np.uint64) for side in pair), percent)
                 for pair in both
             ]
-            columns = [batch.column("a"), batch.column("b"), pa.array(found, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
+            yield batch.select(["a", "b"]).filter(pa.array(found, pa.bool_()))
 
     with_left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("left")), "a")
     with_both = with_left.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("right")), "b")
-    return with_both.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long, linked boolean")
+    return with_both.select("a", "b", "left", "right").mapInArrow(compared, PAIRS)
 
 
-def verified_groups(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, linked of each pair: a set comes once to all pairs of a family's two blocks."""
+def linked_members(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the members of families: a set comes once to each pair of its family's blocks."""
 
-    def compared(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens = {
-            node.as_py(): np.frombuffer(held.as_buffer(), dtype=np.uint64)
-            for node, held in zip(right.column("node"), right.column("tokens"))
-        }
-        a, b = left.column("a").to_pylist(), left.column("b").to_pylist()
-        found = [linked(tokens[x], tokens[y], percent) for x, y in zip(a, b)]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "linked": pa.array(found, pa.bool_())})
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in _whole_groups(batches, GROUP):
+            for _, group in frame.groupby(GROUP, sort=False):
+                yield _as_pairs(linked_rows(group, percent))
 
-    held = ends(pairs, *GROUP).join(sets, "node").select("node", "tokens", *(F.col(c).alias(f"of_{c}") for c in GROUP))
-    return (
-        pairs.groupBy(*GROUP)
-        .cogroup(held.groupBy(*(f"of_{c}" for c in GROUP)))
-        .applyInArrow(compared, "a long, b long, linked boolean")
-    )
+    held = near.join(sets, "node").repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
+    return held.mapInArrow(compared, PAIRS)
 
 
 def near_duplicates(
@@ -489,7 +502,7 @@ def linked_components(
     percent: int,
     n_words: int,
 ) -> DataFrame:
-    """node, component of whatever is linked, by all links of small groups and enough of families."""
+    """node, component of whatever is linked, by all links of small groups and a forest of those of families."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in _whole_groups(batches, PLACE):
@@ -502,8 +515,11 @@ def linked_components(
             for _, some in frame.assign(unit=unit).groupby(before // ENTRIES, sort=False):
                 yield _as_pairs(likely_pairs(some, percent))
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        return full_sets(docs, nodes, ends(pairs), id_column, text_column, n_words)
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in _whole_groups(batches, GROUP):
+            for _, group in frame.groupby(GROUP, sort=False):
+                rows = group[near_rows(group, percent)]
+                yield pa.RecordBatch.from_pandas(rows, schema=MEMBER_TYPES, preserve_index=False)
 
     members = family_members(met)
     own = members.filter(F.col("size") <= FAMILY).select("node", "family")
@@ -511,46 +527,12 @@ def linked_components(
     small = small_groups(met, own, sized)
     pairs = small.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(listed, PAIRS).distinct()
     pairs = materialise(pairs, "ngram-pairs")
-    done = materialise(verified_pairs(pairs, sets_of(pairs), percent), "ngram-verified")
-    crowded = materialise(families(met, members, sketches), "ngram-crowded")
-    budgets = [0, 0, 2]  # two spanning forests, then what is left
-    labels = components(done.filter("linked").select("a", "b"))
-    while not crowded.isEmpty():
-        no = done.filter(~F.col("linked")).groupBy(F.col("a").alias("node")).agg(
-            F.collect_set("b").alias("refuted")
-        )
-        current = (
-            crowded.join(labels, "node", "left")
-            .join(no, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
-            .withColumn("refuted", F.coalesce("refuted", F.array().cast("array<bigint>")))
-        )
-
-        budget = budgets.pop(0) if len(budgets) > 1 else budgets[0]
-
-        def compared(
-            batches: Iterator[pa.RecordBatch], budget: int = budget
-        ) -> Iterator[pa.RecordBatch]:
-            for frame in _whole_groups(batches, GROUP):
-                for place, group in frame.groupby(GROUP, sort=False):
-                    found = _as_pairs(candidates(group, percent, budget))
-                    for name, value in zip(GROUP, place):
-                        kind = pa.int64() if name == "group" else pa.int32()
-                        found = found.append_column(name, pa.array([int(value)] * found.num_rows, kind))
-                    yield found
-
-        by_group = current.repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
-        schema = f"{PAIRS}, group long, i int, j int"
-        pairs, n = materialise_counted(by_group.mapInArrow(compared, schema), "ngram-pairs")
-        if not n:
-            break
-        known = materialise(verified_groups(pairs, sets_of(pairs), percent).distinct(), "ngram-verified")
-        done = done.unionByName(known)
-        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = components(stars.unionByName(known.filter("linked").select("a", "b")))
-        if len(budgets) == 1:
-            budgets[0] *= 4
-    return labels
+    crowded = families(met, members, sketches).repartition(*GROUP).sortWithinPartitions(*GROUP, "node")
+    crowded = materialise(crowded.mapInArrow(near, MEMBERS), "ngram-crowded")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node"))
+    sets = full_sets(docs, nodes, wanted, id_column, text_column, n_words)
+    links = linked_pairs(pairs, sets, percent).unionByName(linked_members(crowded, sets, percent))
+    return components(links)
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
