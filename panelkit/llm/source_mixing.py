@@ -7,7 +7,9 @@ are a multinomial draw from what the sources have left, so that the shards toget
 targets. The slots of a source are numbered through all shards and mapped to its blocks by a
 seeded pseudorandom permutation per pass; blocks and slots meet in a join on (source, block).
 
-The driver holds one row per source and per (shard, source), never anything per document.
+The driver holds one row per source, never anything per document; one task draws the shards, one after
+the other. Slots and pieces of documents are made inside tasks, and Spark takes them for as small as the
+rows they come from, so their join is told to merge: a broadcast would take them through the driver.
 """
 
 from __future__ import annotations
@@ -55,21 +57,20 @@ def source_targets(sizes: list[int]) -> list[float]:
     return targets
 
 
-def shard_draws(slots: list[int], seed: int = SEED) -> list[tuple[int, int, int, int]]:
+def shard_draws(slots: list[int], seed: int = SEED) -> Iterator[tuple[int, int, int, int]]:
     """(shard, source, first slot of the source, slots): multinomial draws until none are left."""
     generator = np.random.default_rng(seed)
     left, first = np.array(slots, dtype=np.int64), np.zeros(len(slots), dtype=np.int64)
     size = max(SLOTS_PER_SHARD, math.ceil(left.sum() / SHARDS))
-    rows, shard = [], 0
+    shard = 0
     while left.sum():
         drawn, want = np.zeros_like(left), min(size, int(left.sum()))
         while want:
             rest = left - drawn
             drawn += np.minimum(generator.multinomial(want, rest / rest.sum()), rest)
             want = min(size, int(left.sum())) - int(drawn.sum())
-        rows += [(shard, int(s), int(first[s]), int(drawn[s])) for s in np.flatnonzero(drawn)]
+        yield from ((shard, int(s), int(first[s]), int(drawn[s])) for s in np.flatnonzero(drawn))
         first, left, shard = first + drawn, left - drawn, shard + 1
-    return rows
 
 
 def permuted(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -159,13 +160,13 @@ class Mixture:
     @cached_property
     def placed(self) -> DataFrame:
         """The pieces with the shard, slot and pass of each use."""
-        return self.pieces.join(self.slots, ["number", "block"])
+        return self.pieces.hint("merge").join(self.slots, ["number", "block"])
 
     def documents(self) -> DataFrame:
         """id, size, source_size, target, taken of every row."""
         used = self.slots.groupBy("number", "block").agg(F.count(F.lit(1)).alias("uses"))
         taken = (
-            self.pieces.join(used, ["number", "block"])
+            self.pieces.hint("merge").join(used, ["number", "block"])
             .groupBy("row")
             .agg(F.sum((F.col("end") - F.col("first")) * F.col("uses")).alias("taken"))
         )
@@ -224,9 +225,8 @@ def mix(
         ],
         "number int, source string, source_size long, target double, blocks long",
     )
-    draws = spark.createDataFrame(
-        shard_draws(slots, seed), "shard int, number int, first long, slots long"
-    )
+    drawn = spark.sparkContext.parallelize([slots], 1).flatMap(lambda left: shard_draws(left, seed))
+    draws = spark.createDataFrame(drawn, "shard int, number int, first long, slots long")
     buckets = min(BUCKETS, max(1, sum(sizes) // BUCKET_WORDS))
     order = F.xxhash64("id", "content")
     numbered = (
